@@ -19,4 +19,5 @@ def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     A plain column is copied into every later filter and projection that uses it; the output of a generator is not.
     Meant for expensive expressions that several later steps read.
     """
-    return df.drop(name).select("*", F.explode(F.array(value)).alias(name))
+    others = [F.col(f"`{c}`") for c in df.columns if c != name]
+    return df.select(*others, F.explode(F.array(value)).alias(name))

@@ -72,21 +72,25 @@ def group_centroids(vectors: DataFrame, group: str, column: str, size: int) -> D
 def similarities(docs: DataFrame, key: str, centroids: DataFrame) -> DataFrame:
     """``(key, sims)``: per document an array of ``struct<sim, category>`` over all categories.
 
+    Similarities are rounded to nine places, so that equal categories tie whatever the order of summation was.
+
     Up to 64 centroids travel to the documents as one scalar array. Beyond that the centroids are cut into chunks
     of 64 and documents meet every chunk through an equi-join spread over salts, so no task needs all of them.
     """
     units = centroids.select("category", unit_vector(F.col("vector")).alias("unit")).where(F.col("unit").isNotNull())
-    own = docs.select(key, unit_vector(F.col("vector")).alias("_u")).where(F.col("_u").isNotNull())
+    # the exploded array gives one row per usable vector and scales it once, not once per category
+    own = docs.select(key, F.explode(F.array_compact(F.array(unit_vector(F.col("vector"))))).alias("_u"))
     n = units.count()
 
     def compare(packed):
         return F.transform(
-            packed, lambda c: F.struct(dot(F.col("_u"), c["unit"]).alias("sim"), c["category"].alias("category"))
+            packed,
+            lambda c: F.struct(F.round(dot(F.col("_u"), c["unit"]), 9).alias("sim"), c["category"].alias("category")),
         )
 
     if n <= CENTROIDS_PER_CHUNK:
         packed = units.agg(F.collect_list(F.struct("category", "unit")).alias("c")).scalar()
-        return own.select(key, compare(packed).alias("sims"))
+        return own.withColumn("_pack", packed).select(key, compare(F.col("_pack")).alias("sims"))
     chunks, salts = -(-n // CENTROIDS_PER_CHUNK), 64
     chunk = F.pmod(F.xxhash64("category"), F.lit(chunks))
     packs = units.groupBy(chunk.alias("_c")).agg(F.collect_list(F.struct("category", "unit")).alias("_pack"))

@@ -57,11 +57,12 @@ def embed(df: DataFrame, ident: str, text: str, model: str = "msmarco") -> DataF
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = factory()
         for batch in batches:
-            vectors = encoder.encode(batch[text].tolist())
-            yield pd.DataFrame({"id": batch[ident], "description": batch[text], "embedding": list(vectors)})
+            vectors = encoder.encode(batch["description"].tolist())
+            yield batch.assign(embedding=list(vectors))
 
     key_type = df.schema[ident].dataType.simpleString()
-    return df.select(ident, text).mapInPandas(encode, f"id {key_type}, description string, embedding array<float>")
+    rows = df.select(F.col(ident).alias("id"), F.col(text).alias("description"))
+    return rows.mapInPandas(encode, f"id {key_type}, description string, embedding array<float>")
 
 
 def embed_in_batches(df: DataFrame, ident: str, text: str, model: str = "msmarco", batches: int = 10) -> DataFrame:
