@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larder.functions.bind import let
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(
@@ -20,8 +22,9 @@ def cosine(a: Column, b: Column) -> Column:
 
 def unit_vector(a: Column) -> Column:
     """``a`` scaled to length 1, so that a later cosine is only a dot product; null for a zero vector."""
-    norm = F.sqrt(dot(a, a))
-    return F.when(norm > 0, F.transform(a, lambda x: x.cast("double") / norm))
+    return let(
+        F.sqrt(dot(a, a)), lambda norm: F.when(norm > 0, F.transform(a, lambda x: x.cast("double") / norm))
+    )
 
 
 def vector_size(df: DataFrame, column: str) -> int:
@@ -32,5 +35,5 @@ def vector_size(df: DataFrame, column: str) -> int:
 
 def mean_vectors(df: DataFrame, keys: list[str], column: str, size: int) -> DataFrame:
     """Mean vector per key: one average per position, combined on the map side, with no row per position."""
-    means = [F.avg(F.get(F.col(column), F.lit(i)).cast("double")).alias(f"_m{i}") for i in range(size)]
+    means = [F.expr(f"avg(cast(get(`{column}`, {i}) AS double)) AS _m{i}") for i in range(size)]
     return df.groupBy(*keys).agg(*means).select(*keys, F.array(*[f"_m{i}" for i in range(size)]).alias(column))

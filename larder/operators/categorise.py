@@ -53,9 +53,10 @@ def text_vectors(rows: DataFrame, key: str, token_vectors: DataFrame, size: int)
     by a shuffle; the mean is combined on the map side.
     """
     found = lookup_join(rows, token_vectors, "token").where(F.col("vector").isNotNull())
-    sums = [F.sum(F.get("vector", F.lit(i)).cast("double") * F.col("n")).alias(f"_s{i}") for i in range(size)]
+    sums = [F.expr(f"sum(cast(get(vector, {i}) AS double) * n) AS _s{i}") for i in range(size)]
     summed = found.groupBy(key).agg(F.sum("n").alias("_n"), *sums)
-    return summed.select(key, F.array(*[F.col(f"_s{i}") / F.col("_n") for i in range(size)]).alias("vector"))
+    parts = ", ".join(f"_s{i} / _n" for i in range(size))
+    return summed.select(key, F.expr(f"array({parts}) AS vector"))
 
 
 def category_centroids(lexicon: DataFrame, token_vectors: DataFrame, size: int) -> DataFrame:

@@ -24,16 +24,17 @@ def schema_tests(reference: DataFrame, current: DataFrame) -> list[tuple[str, st
     return rows
 
 
-def _stats(columns: list[str], extra: dict[str, Column] | None = None) -> list[Column]:
-    out = [F.count(F.lit(1)).cast("double").alias("rows")]
-    for c in columns:
-        v = F.col(c).cast("double")
-        parts = {
-            "nulls": F.avg(v.isNull().cast("double")), "low": F.min(v), "high": F.max(v), "mean": F.avg(v),
-            "std": F.stddev_samp(v), **({"outside": extra[c]} if extra else {}),
-        }
-        out.append(F.struct(*[p.alias(k) for k, p in parts.items()]).alias(c))
-    return out
+def _long(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(column, value)`` of every cell; the aggregates over it combine on the map side to one row per column."""
+    return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column", "value")
+
+
+def _moments() -> list[Column]:
+    v = F.col("value")
+    return [
+        F.count(F.lit(1)).alias("rows"), F.avg(v.isNull().cast("double")).alias("nulls"), F.min(v).alias("low"),
+        F.max(v).alias("high"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+    ]
 
 
 def stability_tests(
@@ -41,36 +42,41 @@ def stability_tests(
 ) -> DataFrame:
     """``(test, column, reference, current, status)``.
 
-    One aggregate per side. The reference's bounds reach the current side as a one-row scalar. Tests: row count
-    within the tolerance, share of nulls, share outside the reference range, mean within two reference deviations,
-    and for categorical columns the share of values the reference does not know.
+    One aggregate per side; the bounds of the reference (one row per column) are broadcast to the current side.
+    Tests: row count within the tolerance, share of nulls, share outside the reference range, mean within two
+    reference deviations, and for categorical columns the share of values the reference does not know.
     """
-    ref_row = reference.agg(*_stats(columns)).select(F.struct("*").alias("s")).scalar()
-    sides = current.withColumn("_ref", ref_row)
-    outside = {
-        c: F.avg(
-            ((F.col(c) < F.col(f"_ref.{c}.low")) | (F.col(c) > F.col(f"_ref.{c}.high"))).cast("double")
-        )
-        for c in columns
-    }
-    cur = sides.agg(*_stats(columns, outside), F.first("_ref").alias("ref"))
-
-    def test(name: str, column: str, ref: Column, now: Column, ok: Column) -> Column:
+    ref = _long(reference, columns).groupBy("column").agg(*_moments())
+    # one row per tested column
+    bounds = F.broadcast(ref.select("column", F.col("low").alias("_low"), F.col("high").alias("_high")))
+    beyond = F.avg(((F.col("value") < F.col("_low")) | (F.col("value") > F.col("_high"))).cast("double"))
+    cur = _long(current, columns).join(bounds, "column").groupBy("column").agg(*_moments(), beyond.alias("outside"))
+    both = ref.alias("r").join(cur.alias("k"), "column")
+
+    def test(name: str, was: Column, now: Column, ok: Column) -> Column:
         return F.struct(
-            F.lit(name).alias("test"), F.lit(column).alias("column"), ref.alias("reference"), now.alias("current"),
+            F.lit(name).alias("test"), was.cast("double").alias("reference"), now.alias("current"),
             F.when(F.coalesce(ok, F.lit(False)), "pass").otherwise("fail").alias("status"),
         )
 
-    now, ref = F.col("rows"), F.col("ref.rows")
-    tests = [test("row_count", "", ref, now, F.abs(now - ref) <= ref * tolerance)]
-    for c in columns:
-        r, k = (lambda f, c=c: F.col(f"ref.{c}.{f}")), (lambda f, c=c: F.col(f"{c}.{f}"))
-        tests += [
-            test("null_share", c, r("nulls"), k("nulls"), k("nulls") <= r("nulls") + tolerance),
-            test("out_of_range", c, F.lit(0.0), k("outside"), k("outside") <= tolerance),
-            test("mean_in_2_sigma", c, r("mean"), k("mean"), F.abs(k("mean") - r("mean")) <= r("std") * 2),
-        ]
-    out = cur.select(F.explode(F.array(*tests)).alias("t")).select("t.*")
+    def r(name: str) -> Column:
+        return F.col(f"r.{name}")
+
+    def k(name: str) -> Column:
+        return F.col(f"k.{name}")
+
+    tests = F.array(
+        test("null_share", r("nulls"), k("nulls"), k("nulls") <= r("nulls") + tolerance),
+        test("out_of_range", F.lit(0.0), F.col("outside"), F.col("outside") <= tolerance),
+        test("mean_in_2_sigma", r("mean"), k("mean"), F.abs(k("mean") - r("mean")) <= r("std") * 2),
+    )
+    out = both.select("column", F.explode(tests).alias("t")).select("t.test", "column", "t.reference", "t.current", "t.status")
+    was, now = F.max(r("rows")).cast("double"), F.max(k("rows")).cast("double")
+    counted = both.agg(
+        F.lit("row_count").alias("test"), F.lit("").alias("column"), was.alias("reference"), now.alias("current"),
+        F.when(F.abs(now - was) <= was * tolerance, "pass").otherwise("fail").alias("status"),
+    )
+    out = out.unionByName(counted)
     for c in categorical or []:
         out = out.unionByName(_unknown_values(reference, current, c, tolerance))
     return out
@@ -93,12 +99,10 @@ def _unknown_values(reference: DataFrame, current: DataFrame, column: str, toler
 def quality_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """Per column: rows, nulls, distinct values, min, quartiles, max, mean, deviation, share of zeros, top value.
 
-    Moments come from one wide aggregate. Everything about values comes from one combined count per (column, value).
+    Moments come from one aggregate per column. All about values comes from one combined count per (column, value).
     """
-    moments = df.agg(*_stats(columns)).select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col("rows"), F.col(c).alias("s")) for c in columns])).alias("m")
-    ).select("m.column", F.col("m.rows").cast("bigint").alias("n"), "m.s.nulls", "m.s.mean", "m.s.std", "m.s.low", "m.s.high")
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column", "value")
+    long = _long(df, columns)
+    moments = long.groupBy("column").agg(*_moments()).withColumnRenamed("rows", "n")
     counts = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     top = F.max(F.struct(F.col("n"), (-F.col("value")).alias("v")))
     values = counts.groupBy("column").agg(

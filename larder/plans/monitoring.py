@@ -126,7 +126,7 @@ def schema_stability(t: Tables) -> DataFrame:
 @query(
     "quality",
     f"""WITH {LONG}, cur AS (SELECT * FROM long WHERE label = 'testing'),
-    tops AS (SELECT "column", "value", count(*) AS k FROM cur GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY k DESC, "value") = 1)
+    tops AS (SELECT * FROM (SELECT "column", "value", count(*) AS k FROM cur GROUP BY "column", "value") QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY k DESC, "value") = 1)
     SELECT "column", count(*) AS n, 0e0 AS nulls, round(avg(cur."value"), 6) AS mean, round(stddev_samp(cur."value"), 6) AS std, min(cur."value") AS low, max(cur."value") AS high,
     count(DISTINCT cur."value") AS distinct_values, round(count(*) FILTER (cur."value" = 0) / count(*), 6) AS zero_share, max(tops."value") AS most_common,
     round(max(k) / count(*), 6) AS most_common_share, round(quantile_cont(cur."value", 0.25), 6) AS p25, round(quantile_cont(cur."value", 0.5), 6) AS p50,
