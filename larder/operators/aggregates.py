@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.nutrients import is_mapped
-from larder.operators.ranks import exact_quantiles, value_counts
+from larder.operators.ranks import attach_small, exact_quantiles, value_counts
 from larder.schemas import FEATURES
 
 
@@ -123,13 +123,16 @@ def unmapped_names(docs: DataFrame, bag: Column, kind: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30, groups: list[str] | None = None) -> DataFrame:
-    """Equal-width bins between min and max, the last bin closed; a constant column falls into bin 0."""
+    """Equal-width bins between min and max, the last bin closed; a constant column falls into bin 0.
+
+    Two scans with a combined aggregate each; only bounds and bin counts are shuffled.
+    """
     groups = groups or []
     c = F.col(column).cast("double")
-    rows = df.where(c.isNotNull()).groupBy(*groups, c.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = df.select(*groups, c.alias("_v")).where(F.col("_v").isNotNull())
     ends = rows.groupBy(*groups).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     if groups:
-        placed = rows.join(ends, groups)
+        placed = attach_small(rows, ends, groups)
     else:
         edge = ends.select(F.struct("_lo", "_hi").alias("s")).scalar()
         placed = rows.withColumn("_lo", edge["_lo"]).withColumn("_hi", edge["_hi"])
@@ -138,7 +141,7 @@ def histogram(df: DataFrame, column: str, bins: int = 30, groups: list[str] | No
     return (
         placed.withColumn("bin", bin_no.cast("bigint"))
         .groupBy(*groups, "bin", "_lo", "_hi")
-        .agg(F.sum("_n").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .select(*groups, "bin", (F.col("_lo") + width * F.col("bin")).alias("bin_start"), "n")
     )
 

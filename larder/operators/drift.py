@@ -43,7 +43,7 @@ def ks_p_value(d: Column, n1: Column, n2: Column, terms: int = SERIES_TERMS) ->
 
 def drift_measures(counts: DataFrame) -> DataFrame:
     """Per column KS distance with p-value, Wasserstein-1 distance and the shift of the mean."""
-    ranked = prefix_sums(counts, ["column"], "value", ["r", "c"])
+    ranked = prefix_sums(counts, ["column"], "value", ["r", "c"], few_groups=True)
     gap = F.abs(
         (F.col("before_r") + F.col("r")) / F.col("all_r") - (F.col("before_c") + F.col("c")) / F.col("all_c")
     )
@@ -76,11 +76,12 @@ def population_stability(counts: DataFrame, bins: int = 10, floor: float = 0.000
     """PSI per column on the reference's quantile bins; an empty bin counts as ``floor``."""
     cuts = [i / bins for i in range(1, bins)]
     edges = (
-        exact_quantiles(counts.where(F.col("r") > 0), ["column"], "value", cuts, weight="r")
+        exact_quantiles(counts.where(F.col("r") > 0), ["column"], "value", cuts, weight="r", few_groups=True)
         .groupBy("column")
         .agg(F.array_sort(F.collect_list("value")).alias("_edges"))
     )
-    placed = counts.join(edges, "column").withColumn(
+    # one row per tested column
+    placed = counts.join(F.broadcast(edges), "column").withColumn(
         "bin", F.size(F.filter("_edges", lambda e: e < F.col("value")))
     )
     # the bins of one column are few rows; every bin exists on at least one side

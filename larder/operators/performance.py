@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators.aggregates import feature_ranges, histogram
-from larder.operators.ranks import exact_quantiles, prefix_sums
+from larder.operators.ranks import attach_small, exact_quantiles, prefix_sums
 from larder.operators.splits import last_rows
 
 
@@ -90,12 +90,14 @@ def qq_line(points: DataFrame, groups: list[str]) -> DataFrame:
 
 def error_groups(df: DataFrame, groups: list[str], tail: float = 0.05) -> DataFrame:
     """Adds ``error_group``: under (lowest errors), over (highest) or majority."""
+    if not groups:
+        return error_groups(df.withColumn("_every", F.lit(0)), ["_every"], tail).drop("_every")
     cuts = (
         exact_quantiles(df, groups, "error", [tail, 1 - tail])
         .groupBy(*groups)
         .agg(F.min("value").alias("_low"), F.max("value").alias("_high"))
     )
-    marked = df.join(cuts, groups)
+    marked = attach_small(df, cuts, groups)
     name = F.when(F.col("error") <= F.col("_low"), "under").when(F.col("error") >= F.col("_high"), "over").otherwise("majority")
     return marked.withColumn("error_group", name).drop("_low", "_high")
 

@@ -112,7 +112,7 @@ def quality_profile(df: DataFrame, columns: list[str]) -> DataFrame:
         (top["n"] / F.sum("n")).alias("most_common_share"),
     )
     quartiles = (
-        exact_quantiles(counts, ["column"], "value", [0.25, 0.5, 0.75], weight="n")
+        exact_quantiles(counts, ["column"], "value", [0.25, 0.5, 0.75], weight="n", few_groups=True)
         .groupBy("column")
         .agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(a) for q, a in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
     )

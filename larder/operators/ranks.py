@@ -75,12 +75,25 @@ def _bucket_of(value: Column, bounds: Column, step: int) -> Column:
     return skip + F.size(F.filter(F.slice(bounds, skip + 1, step), lambda b: b < value))
 
 
-def prefix_sums(counts: DataFrame, groups: list[str], value: str, sums: list[str], buckets: int = 256) -> DataFrame:
+def attach_small(df: DataFrame, small: DataFrame, keys: list[str], limit: int = 10_000) -> DataFrame:
+    """Join a per-group summary to the rows it summarises.
+
+    The summary is computed once and stored; it is broadcast only if it has at most ``limit`` rows, else both sides
+    are shuffled and adaptive execution splits the large groups.
+    """
+    stored = cut(small)
+    return df.join(F.broadcast(stored) if stored.limit(limit + 1).count() <= limit else stored, keys)
+
+
+def prefix_sums(
+    counts: DataFrame, groups: list[str], value: str, sums: list[str], buckets: int = 256, few_groups: bool = False
+) -> DataFrame:
     """Running sums over ordered distinct values, per group.
 
     ``counts`` has one row per (group, value). For every column s of ``sums`` the result has ``before_s`` (sum over
     smaller values) and ``all_s`` (sum of the group), plus ``next_value``. Values are cut into range buckets of
-    about equal row count, so a group with most of the rows is spread over ``buckets`` tasks.
+    about equal row count, so a group with most of the rows is spread over ``buckets`` tasks. ``few_groups`` says that
+    the groups are a fixed short list (such as column names), so that their bounds may be broadcast.
     """
     step = max(1, math.isqrt(buckets))
     cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
@@ -90,6 +103,7 @@ def prefix_sums(counts: DataFrame, groups: list[str], value: str, sums: list[str
     bounds = rows.groupBy(*keys).agg(
         F.array_distinct(F.percentile_approx(value, cuts, F.lit(10 * buckets))).alias("_bounds")
     )
+    bounds = F.broadcast(bounds) if few_groups or not groups else bounds
     placed = rows.join(bounds, keys).withColumn("_b", _bucket_of(F.col(value), F.col("_bounds"), step)).drop("_bounds")
     # one exchange on (group, bucket) serves the totals, the join and the window below; without it a partitioning
     # by group alone would satisfy them and a large group would stay in one task
@@ -119,14 +133,16 @@ def prefix_sums(counts: DataFrame, groups: list[str], value: str, sums: list[str
     return out
 
 
-def exact_quantiles(df: DataFrame, groups: list[str], value: str, qs: list[float], weight: str | None = None) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, groups: list[str], value: str, qs: list[float], weight: str | None = None, few_groups: bool = False
+) -> DataFrame:
     """Interpolated quantiles per group: rows ``(groups, q, value)``.
 
     Only distinct values with their counts are ordered; the few rows that cover a wanted position are kept.
     """
     n = F.sum(weight) if weight else F.count(F.lit(1))
     counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(n.alias("n"))
-    ranked = prefix_sums(counts, groups, value, ["n"])
+    ranked = prefix_sums(counts, groups, value, ["n"], few_groups=few_groups)
     wanted = F.array(*[F.lit(float(q)) for q in qs])
 
     def position(q: Column) -> Column:

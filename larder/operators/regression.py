@@ -129,11 +129,12 @@ def residual_rows(df: DataFrame, target: str, prediction: str, features: list[st
 
 def residual_bins(long: DataFrame, bins: int = 20) -> DataFrame:
     """Mean residual per equal-width bin of each feature: the chart data without the points."""
+    # one row per feature
     ends = long.groupBy("feature").agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     bin_no = F.when(width > 0, F.least(F.floor((F.col("x") - F.col("_lo")) / width), F.lit(bins - 1))).otherwise(0)
     return (
-        long.join(ends, "feature")
+        long.join(F.broadcast(ends), "feature")
         .groupBy("feature", bin_no.cast("bigint").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"), F.avg("residual").alias("residual_mean"))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.text import hash_bucket
-from larder.operators.ranks import kth_value, number_rows, top_n_per_group
+from larder.operators.ranks import attach_small, kth_value, number_rows, top_n_per_group
 
 LABELS = ("training", "validation", "testing")
 
@@ -70,5 +70,5 @@ def last_rows(log: DataFrame, n: int = 3000, model: str = "model", ts: str = "ts
     newest = Window.partitionBy(model).orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)
     needed = per_day.withColumn("_newer", F.coalesce(F.sum("_n").over(newest), F.lit(0))).where(F.col("_newer") < n)
     first_day = needed.groupBy(model).agg(F.min("_day").alias("_from"))
-    recent = log.join(first_day, model).where(day >= F.col("_from")).drop("_from")
+    recent = attach_small(log, first_day, [model]).where(day >= F.col("_from")).drop("_from")
     return top_n_per_group(recent, [model], [F.desc(ts), F.col(ident)], n, F.col(ident))

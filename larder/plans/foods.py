@@ -14,6 +14,7 @@ from larder.plans import views
 from larder.plans.registry import FACTS, FEATURE_LIST, FEATURES_SQL, FOODS, LABELED_SQL, bucket_sql, query
 from larder.plans.views import Tables
 from larder.schemas import FEATURES
+from larder.session import materialise
 
 
 def r6(column: str) -> Column:
@@ -316,13 +317,18 @@ CAP = """capped AS (
   WHERE score <> 0 OR rn <= n * 15 // 100 + 1)"""
 
 
+def stored_scores(t: Tables) -> DataFrame:
+    """Scores written once; the cap counts them in several scans."""
+    return materialise(views.scored_foods(t).select("fid", "score"), "scores")
+
+
 @query("zero_cap", f"WITH {FOODS}, {CAP} SELECT fid, score FROM capped")
 def zero_cap(t: Tables) -> DataFrame:
-    return splits.cap_zero_scores(views.scored_foods(t).select("fid", "score"), "fid")
+    return splits.cap_zero_scores(stored_scores(t), "fid")
 
 
 @query(
-    "zero_cap_discounts",
+    "zero_cap_events",
     """SELECT event_id, score FROM (SELECT event_id, floor("value" / 25) AS score, row_number() OVER (ORDER BY event_id) AS rn,
     count(*) OVER () AS n FROM events) WHERE score <> 0 OR rn <= n * 15 // 100 + 1""",
 )
@@ -338,7 +344,7 @@ SPLIT = f"""split AS (SELECT fid, score, CASE {bucket_sql('fid')} WHEN 0 THEN 't
 
 @query("split_label", f"WITH {FOODS}, {CAP}, {SPLIT} SELECT fid, score, label FROM split")
 def split_label(t: Tables) -> DataFrame:
-    return splits.split_dataset(views.scored_foods(t).select("fid", "score"), "fid")
+    return splits.split_dataset(stored_scores(t), "fid")
 
 
 @query(
@@ -348,7 +354,7 @@ def split_label(t: Tables) -> DataFrame:
           ELSE (SELECT count(*) FROM split) // 3 END)::BIGINT AS planned FROM split GROUP BY label""",
 )
 def split_sizes(t: Tables) -> DataFrame:
-    return agg.split_sizes(splits.split_dataset(views.scored_foods(t).select("fid", "score"), "fid"))
+    return agg.split_sizes(splits.split_dataset(stored_scores(t), "fid"))
 
 
 @query(

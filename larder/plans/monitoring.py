@@ -12,6 +12,7 @@ from larder.plans import views
 from larder.plans.registry import FEATURE_LIST, LABELED_SQL, LOG_SQL, query
 from larder.plans.views import Tables
 from larder.schemas import FEATURES, ColumnRoles
+from larder.session import materialise
 
 ROLES = ColumnRoles()
 
@@ -25,8 +26,8 @@ def rounded(df: DataFrame, keep: list[str], places: int = 6) -> DataFrame:
 
 
 def pair(t: Tables, reference: str = "validation", current: str = "testing") -> tuple[DataFrame, DataFrame]:
-    """The compared pair of labelled sets, report columns only."""
-    rows = views.labeled_features(t)
+    """The compared pair of labelled sets, report columns only; the feature rows are written once for all passes."""
+    rows = materialise(views.labeled_features(t), "features")
     columns = ROLES.report_columns(rows.columns)
     return term(rows, "label", reference).select(*columns), term(rows, "label", current).select(*columns)
 

@@ -37,7 +37,9 @@ def log_stream(t: Tables) -> DataFrame:
     # a pattern, because the table may be one file or a folder of files
     raw = t.spark.readStream.schema(events.schema).parquet(f"{t.root}/events.parquet*")
     return raw.select(
-        F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("model"), F.col("event_id").alias("fid"),
+        # the tables hold UTC wall-clock time; a watermark needs an instant, whatever the session's zone is
+        F.expr("cast(convert_timezone('UTC', current_timezone(), cast(ts AS timestamp_ntz)) AS timestamp)").alias("ts"),
+        F.col("event_type").alias("model"), F.col("event_id").alias("fid"),
         F.from_json("props", "k double")["k"].alias("target"), F.col("value").alias("prediction"),
     )
 
@@ -65,5 +67,6 @@ def stream_windows(t: Tables) -> DataFrame:
     sink, state = fresh_path(t.spark, "windows"), fresh_path(t.spark, "window-state")
     monitor.run_windowed(log_stream(t), sink, state).awaitTermination()
     done = tables.scan(t.spark, sink)
-    day = F.date_format("window_start", "yyyy-MM-dd").alias("day")
+    start = "convert_timezone(current_timezone(), 'UTC', cast(window_start AS timestamp_ntz))"
+    day = F.expr(f"date_format({start}, 'yyyy-MM-dd') AS day")
     return rounded(done.select(day, "model", "n", "mean_error", "mae", "rmse"), [])
