@@ -95,8 +95,8 @@ def similarities(docs: DataFrame, key: str, centroids: DataFrame) -> DataFrame:
     chunks, salts = -(-n // CENTROIDS_PER_CHUNK), 64
     chunk = F.pmod(F.xxhash64("category"), F.lit(chunks))
     packs = units.groupBy(chunk.alias("_c")).agg(F.collect_list(F.struct("category", "unit")).alias("_pack"))
-    packs = packs.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
-    spread = own.withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).cast("bigint"))
+    packs = packs.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
+    spread = own.withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)).cast("array<bigint>")))
     spread = spread.withColumn("_s", F.pmod(F.xxhash64(key), F.lit(salts)))
     parts = spread.join(packs, ["_c", "_s"]).select(key, compare(F.col("_pack")).alias("sims"))
     return parts.groupBy(key).agg(F.flatten(F.collect_list("sims")).alias("sims"))

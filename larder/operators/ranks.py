@@ -97,8 +97,8 @@ def prefix_sums(
     """
     step = max(1, math.isqrt(buckets))
     cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    keys = groups or ["_every"]
-    rows = counts if groups else counts.withColumn("_every", F.lit(0))
+    keys = groups or ["_no_group"]
+    rows = counts if groups else counts.withColumn("_no_group", F.lit(0))
     rows = rows.where(F.col(value).isNotNull())
     bounds = rows.groupBy(*keys).agg(
         F.array_distinct(F.percentile_approx(value, cuts, F.lit(10 * buckets))).alias("_bounds")
@@ -125,7 +125,7 @@ def prefix_sums(
     inside = Window.partitionBy(*keys, "_b").orderBy(value)
     up_to = inside.rowsBetween(Window.unboundedPreceding, -1)
     out = placed.join(offsets, [*keys, "_b"]).select(
-        *[c for c in placed.columns if c not in ("_b", "_every")],
+        *[c for c in placed.columns if c not in ("_b", "_no_group")],
         F.coalesce(F.lead(value).over(inside), F.col("_next")).alias("next_value"),
         *[(F.col(f"_o_{s}") + F.coalesce(F.sum(s).over(up_to), F.lit(0))).alias(f"before_{s}") for s in sums],
         *[F.col(f"all_{s}") for s in sums],
