@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from larder.functions.bind import let
 from larder.operators.ranks import exact_quantiles, prefix_sums
+from larder.session import materialise
 
 SERIES_TERMS = 100
 
@@ -61,7 +62,8 @@ def drift_test(
     reference: DataFrame, current: DataFrame, columns: list[str], drift_share: float = 0.5, alpha: float = 0.05
 ) -> DataFrame:
     """KS test per column; the data set drifts if at least ``drift_share`` of the columns do."""
-    tested = drift_measures(side_counts(reference, current, columns)).select(
+    counts = materialise(side_counts(reference, current, columns), "drift-counts")
+    tested = drift_measures(counts).select(
         "column", "ks", "p_value", (F.col("p_value") < alpha).cast("int").alias("drifted")
     )
     # the table has one row per tested column, so this window is as small as the column list
@@ -97,6 +99,6 @@ def population_stability(counts: DataFrame, bins: int = 10, floor: float = 0.000
 
 
 def drift_report(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
-    """All drift measures per column."""
-    counts = side_counts(reference, current, columns)
+    """All drift measures per column; the counts are stored, so that both sides are read once."""
+    counts = materialise(side_counts(reference, current, columns), "drift-counts")
     return drift_measures(counts).join(population_stability(counts), "column")

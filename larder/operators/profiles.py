@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators.ranks import exact_quantiles
+from larder.session import materialise
 
 
 def schema_tests(reference: DataFrame, current: DataFrame) -> list[tuple[str, str, float, float, str]]:
@@ -99,11 +100,13 @@ def _unknown_values(reference: DataFrame, current: DataFrame, column: str, toler
 def quality_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """Per column: rows, nulls, distinct values, min, quartiles, max, mean, deviation, share of zeros, top value.
 
-    Moments come from one aggregate per column. All about values comes from one combined count per (column, value).
+    Moments come from one aggregate per column. All about values comes from one stored count per (column, value).
     """
     long = _long(df, columns)
     moments = long.groupBy("column").agg(*_moments()).withColumnRenamed("rows", "n")
-    counts = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialise(
+        long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")), "value-counts"
+    )
     top = F.max(F.struct(F.col("n"), (-F.col("value")).alias("v")))
     values = counts.groupBy("column").agg(
         F.count(F.lit(1)).alias("distinct_values"),

@@ -6,7 +6,7 @@ buckets, and only bucket totals are ordered globally.
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,13 +66,19 @@ def number_rows(df: DataFrame, order: list[Column], name: str = "rn") -> DataFra
     )
 
 
-def _bucket_of(value: Column, bounds: Column, step: int) -> Column:
-    """How many bounds lie below a value, found in two short scans of a sorted array."""
-    coarse = F.transform(
-        F.sequence(F.lit(step), F.greatest(F.size(bounds), F.lit(step)), F.lit(step)), lambda i: F.get(bounds, i - 1)
-    )
-    skip = F.size(F.filter(coarse, lambda b: b < value)) * step
-    return skip + F.size(F.filter(F.slice(bounds, skip + 1, step), lambda b: b < value))
+def with_bucket(df: DataFrame, value: str, bounds: str, buckets: int) -> DataFrame:
+    """Adds ``_b``: how many entries of a sorted array (fewer than ``buckets``) lie below a value.
+
+    A binary search written as one projection per step. Each step uses the one before twice, so the optimizer keeps
+    them apart, and all of them run as generated code.
+    """
+    step = 1 << (max(2, buckets) - 1).bit_length()
+    out = df.withColumn("_b", F.lit(0))
+    while step > 1:
+        step //= 2
+        below = F.get(F.col(bounds), F.col("_b") + (step - 1)) < F.col(value)
+        out = out.withColumn("_b", F.col("_b") + F.when(below, step).otherwise(0))
+    return out
 
 
 def attach_small(df: DataFrame, small: DataFrame, keys: list[str], limit: int = 10_000) -> DataFrame:
@@ -85,52 +91,62 @@ def attach_small(df: DataFrame, small: DataFrame, keys: list[str], limit: int =
     return df.join(F.broadcast(stored) if stored.limit(limit + 1).count() <= limit else stored, keys)
 
 
-def prefix_sums(
-    counts: DataFrame, groups: list[str], value: str, sums: list[str], buckets: int = 256, few_groups: bool = False
-) -> DataFrame:
-    """Running sums over ordered distinct values, per group.
+def _in_buckets(
+    counts: DataFrame, groups: list[str], value: str, sums: list[str], buckets: int, few_groups: bool
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with a range bucket ``_b``, and one row per (group, bucket) with running and whole sums.
 
-    ``counts`` has one row per (group, value). For every column s of ``sums`` the result has ``before_s`` (sum over
-    smaller values) and ``all_s`` (sum of the group), plus ``next_value``. Values are cut into range buckets of
-    about equal row count, so a group with most of the rows is spread over ``buckets`` tasks. ``few_groups`` says that
-    the groups are a fixed short list (such as column names), so that their bounds may be broadcast.
+    The bounds come from an approximate sketch; they only decide how even the buckets are, never a result.
     """
-    step = max(1, math.isqrt(buckets))
     cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    keys = groups or ["_no_group"]
-    rows = counts if groups else counts.withColumn("_no_group", F.lit(0))
-    rows = rows.where(F.col(value).isNotNull())
-    bounds = rows.groupBy(*keys).agg(
-        F.array_distinct(F.percentile_approx(value, cuts, F.lit(10 * buckets))).alias("_bounds")
+    rows = counts.where(F.col(value).isNotNull())
+    # true for every count; reading the counts here lets all uses of `counts` share one exchange
+    counted = reduce(lambda a, b: a & b, [F.col(s) >= 0 for s in sums])
+    bounds = rows.where(counted).groupBy(*groups).agg(
+        F.array_distinct(F.percentile_approx(value, cuts, F.lit(4 * buckets))).alias("_bounds")
     )
-    bounds = F.broadcast(bounds) if few_groups or not groups else bounds
-    placed = rows.join(bounds, keys).withColumn("_b", _bucket_of(F.col(value), F.col("_bounds"), step)).drop("_bounds")
-    # one exchange on (group, bucket) serves the totals, the join and the window below; without it a partitioning
-    # by group alone would satisfy them and a large group would stay in one task
-    placed = placed.repartition(*keys, "_b")
-
-    totals = placed.groupBy(*keys, "_b").agg(
-        *[F.sum(s).alias(f"_t_{s}") for s in sums], F.min(value).alias("_first")
-    )
-    by_bucket = Window.partitionBy(*keys).orderBy("_b")
+    bounds = F.broadcast(bounds) if few_groups else bounds
+    placed = with_bucket(rows.join(bounds, groups), value, "_bounds", buckets).drop("_bounds")
+    totals = placed.groupBy(*groups, "_b").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums], F.min(value).alias("_first"))
+    by_bucket = Window.partitionBy(*groups).orderBy("_b")
     earlier = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
+    whole = Window.partitionBy(*groups)
     offsets = totals.select(
-        *keys,
+        *groups,
         "_b",
         F.lead("_first").over(by_bucket).alias("_next"),
         *[F.coalesce(F.sum(f"_t_{s}").over(earlier), F.lit(0)).alias(f"_o_{s}") for s in sums],
+        *[F.col(f"_t_{s}") for s in sums],
         *[F.sum(f"_t_{s}").over(whole).alias(f"all_{s}") for s in sums],
     )
-    inside = Window.partitionBy(*keys, "_b").orderBy(value)
+    return placed, offsets
+
+
+def prefix_sums(
+    counts: DataFrame, groups: list[str], value: str, sums: list[str], buckets: int = 256, few_groups: bool = False
+) -> DataFrame:
+    """Running sums over ordered distinct values, per group.
+
+    ``counts`` has one row per (group, value). For every column s of ``sums`` the result has ``before_s`` (sum over
+    smaller values) and ``all_s`` (sum of the group), plus ``next_value``. Values are cut into range buckets of
+    about equal row count, so a group with most of the rows is spread over ``buckets`` tasks. ``few_groups`` says that
+    the groups are a fixed short list (such as column names), so that their bounds may be broadcast.
+    """
+    if not groups:
+        alone = counts.withColumn("_no_group", F.lit(0))
+        return prefix_sums(alone, ["_no_group"], value, sums, buckets, True).drop("_no_group")
+    placed, offsets = _in_buckets(counts, groups, value, sums, buckets, few_groups)
+    # one exchange on (group, bucket) serves the join and the window below; a partitioning by group alone would
+    # satisfy the window too and leave a large group in one task
+    placed = placed.repartition(*groups, "_b")
+    inside = Window.partitionBy(*groups, "_b").orderBy(value)
     up_to = inside.rowsBetween(Window.unboundedPreceding, -1)
-    out = placed.join(offsets, [*keys, "_b"]).select(
-        *[c for c in placed.columns if c not in ("_b", "_no_group")],
+    return placed.join(offsets, [*groups, "_b"]).select(
+        *[c for c in placed.columns if c != "_b"],
         F.coalesce(F.lead(value).over(inside), F.col("_next")).alias("next_value"),
         *[(F.col(f"_o_{s}") + F.coalesce(F.sum(s).over(up_to), F.lit(0))).alias(f"before_{s}") for s in sums],
         *[F.col(f"all_{s}") for s in sums],
     )
-    return out
 
 
 def exact_quantiles(
@@ -138,28 +154,42 @@ def exact_quantiles(
 ) -> DataFrame:
     """Interpolated quantiles per group: rows ``(groups, q, value)``.
 
-    Only distinct values with their counts are ordered; the few rows that cover a wanted position are kept.
+    Values are counted, and the counts summed per range bucket. Only the buckets in which a wanted position lies (at
+    most two per quantile) are sorted; all other rows are never shuffled again.
     """
+    if not groups:
+        alone = df.withColumn("_no_group", F.lit(0))
+        return exact_quantiles(alone, ["_no_group"], value, qs, weight, True).drop("_no_group")
     n = F.sum(weight) if weight else F.count(F.lit(1))
     counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(n.alias("n"))
-    ranked = prefix_sums(counts, groups, value, ["n"], few_groups=few_groups)
+    placed, offsets = _in_buckets(counts, groups, value, ["n"], 256, few_groups)
     wanted = F.array(*[F.lit(float(q)) for q in qs])
 
     def position(q: Column) -> Column:
         return q * (F.col("all_n") - 1)
 
-    start, end = F.col("before_n"), F.col("before_n") + F.col("n")
+    def hits(start: Column, size: Column) -> Column:
+        def covers(p: Column) -> Column:
+            return (p >= start) & (p < start + size)
 
-    def covers(p: Column) -> Column:
-        return (p >= start) & (p < end)
+        return F.filter(wanted, lambda q: covers(F.floor(position(q))) | covers(F.ceil(position(q))))
 
-    hit = F.filter(wanted, lambda q: covers(F.floor(position(q))) | covers(F.ceil(position(q))))
-    rows = ranked.where(F.size(hit) > 0).select(*groups, value, "before_n", "n", "all_n", F.explode(hit).alias("q"))
+    needed = offsets.where(F.size(hits(F.col("_o_n"), F.col("_t_n"))) > 0).select(*groups, "_b", "_o_n", "all_n")
+    # at most two buckets per group and quantile
+    needed = F.broadcast(needed) if few_groups else needed
+    close = placed.join(needed, [*groups, "_b"])
+    inside = Window.partitionBy(*groups, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = close.select(
+        *groups, value, "n", "all_n", (F.col("_o_n") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("_at")
+    )
+    rows = ranked.withColumn("q", F.explode(hits(F.col("_at"), F.col("n"))))
     low, high = F.floor(position(F.col("q"))), F.ceil(position(F.col("q")))
+
+    def value_at(p: Column) -> Column:
+        return F.max(F.when((p >= F.col("_at")) & (p < F.col("_at") + F.col("n")), F.col(value)))
+
     picked = rows.groupBy(*groups, "q").agg(
-        F.max(F.when(covers(low), F.col(value))).alias("_low"),
-        F.max(F.when(covers(high), F.col(value))).alias("_high"),
-        F.max(position(F.col("q")) - low).alias("_frac"),
+        value_at(low).alias("_low"), value_at(high).alias("_high"), F.max(position(F.col("q")) - low).alias("_frac")
     )
     at = F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_frac")
     return picked.select(*groups, "q", at.alias("value"))

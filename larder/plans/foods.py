@@ -43,6 +43,11 @@ def score_enriched(t: Tables) -> DataFrame:
     return done.select("fid", F.coalesce(F.col("labelNutrients")["protein"]["amount"], F.lit(0.0)).alias("protein"), source.alias("source"))
 
 
+def stored_scores(t: Tables) -> DataFrame:
+    """The scored collection, written once: the queries on it take several scans."""
+    return materialise(views.scored_foods(t).select("fid", "score"), "scores")
+
+
 # --- search aggregations ------------------------------------------------------------------------------------------
 
 HIT = "SELECT '{name}' AS name, row_number() OVER (ORDER BY score {way}, fid) AS rank, score AS value, NULL::BIGINT AS n, fid AS doc FROM scored ORDER BY score {way}, fid LIMIT 2"
@@ -59,7 +64,7 @@ HIT = "SELECT '{name}' AS name, row_number() OVER (ORDER BY score {way}, fid) AS
     UNION ALL (SELECT * FROM ({HIT.format(name='lowest_score_docs', way='ASC')}))""",
 )
 def named_aggs(t: Tables) -> DataFrame:
-    return agg.named_aggregations(views.scored_foods(t).select("fid", "score"))
+    return agg.named_aggregations(stored_scores(t))
 
 
 @query("score_min_max", f"WITH {FOODS} SELECT min(score) AS min_score, max(score) AS max_score FROM scored")
@@ -294,7 +299,7 @@ def attach_predictions(t: Tables) -> DataFrame:
 )
 def pair_compare(t: Tables) -> DataFrame:
     """Each food against the next one of the same description: the winner by score, and why."""
-    docs = views.features(t)
+    docs = materialise(views.features(t).select("fid", "description", "score", "protein", "sodium"), "features")
     pairs = joins.neighbour_pairs(docs, "fid", "description", "fid")
     return joins.compare_pairs(pairs, docs, "fid", "score", {"protein": True, "sodium": False})
 
@@ -305,7 +310,7 @@ def pair_compare(t: Tables) -> DataFrame:
 )
 def concat_sets(t: Tables) -> DataFrame:
     """The three labelled sets put together again."""
-    rows = views.labeled_features(t).select("fid", "score", "label")
+    rows = materialise(views.labeled_features(t).select("fid", "score", "label"), "labeled")
     sets = [filters.term(rows, "label", label) for label in splits.LABELS]
     return joins.concat_sets(*sets).groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("score"), 4).alias("score_sum"))
 
@@ -317,11 +322,6 @@ CAP = """capped AS (
   WHERE score <> 0 OR rn <= n * 15 // 100 + 1)"""
 
 
-def stored_scores(t: Tables) -> DataFrame:
-    """Scores written once; the cap counts them in several scans."""
-    return materialise(views.scored_foods(t).select("fid", "score"), "scores")
-
-
 @query("zero_cap", f"WITH {FOODS}, {CAP} SELECT fid, score FROM capped")
 def zero_cap(t: Tables) -> DataFrame:
     return splits.cap_zero_scores(stored_scores(t), "fid")
@@ -424,7 +424,7 @@ def name_audit(t: Tables) -> DataFrame:
     FROM (SELECT least(floor((score - lo) / ((hi - lo) / 30)), 29)::BIGINT AS bin, lo, hi FROM feature_rows, e) GROUP BY bin, lo, hi""",
 )
 def histogram_scores(t: Tables) -> DataFrame:
-    return agg.histogram(views.features(t), "score").select("bin", r6("bin_start"), "n")
+    return agg.histogram(materialise(views.features(t).select("score"), "scores"), "score").select("bin", r6("bin_start"), "n")
 
 
 

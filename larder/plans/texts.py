@@ -217,7 +217,7 @@ def measures(t: Tables) -> DataFrame:
     units = F.when(F.col("l_returnflag") == "A", F.when(F.col("l_linestatus") == "O", "gram").otherwise("mg")).when(
         F.col("l_returnflag") == "N", F.when(F.col("l_linestatus") == "O", "IUs").otherwise("percentage")
     ).otherwise(F.when(F.col("l_linestatus") == "O", "microgram").otherwise(""))
-    return t("lineitem").select(
+    return t.spread("lineitem", "l_orderkey").select(
         "l_orderkey", "l_linenumber", F.get(names, F.col("l_linenumber") - 1).alias("nutrient"), units.alias("unit"),
         F.col("l_quantity").alias("amount"),
     )
