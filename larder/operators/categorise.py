@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larder.functions.text import tokens
@@ -70,8 +70,8 @@ def group_centroids(vectors: DataFrame, group: str, column: str, size: int) -> D
     return mean_vectors(named, ["category"], "vector", size)
 
 
-def similarities(docs: DataFrame, key: str, centroids: DataFrame) -> DataFrame:
-    """``(key, sims)``: per document an array of ``struct<sim, category>`` over all categories.
+def similarities(docs: DataFrame, key: str, centroids: DataFrame) -> tuple[DataFrame, bool]:
+    """``(key, sims)`` with arrays of ``struct<sim, category>``, and whether a document has one row for all categories.
 
     Similarities are rounded to nine places, so that equal categories tie whatever the order of summation was.
 
@@ -91,31 +91,40 @@ def similarities(docs: DataFrame, key: str, centroids: DataFrame) -> DataFrame:
 
     if n <= CENTROIDS_PER_CHUNK:
         packed = units.agg(F.collect_list(F.struct("category", "unit")).alias("c")).scalar()
-        return own.withColumn("_pack", packed).select(key, compare(F.col("_pack")).alias("sims"))
+        return own.withColumn("_pack", packed).select(key, compare(F.col("_pack")).alias("sims")), True
     chunks, salts = -(-n // CENTROIDS_PER_CHUNK), 64
     chunk = F.pmod(F.xxhash64("category"), F.lit(chunks))
     packs = units.groupBy(chunk.alias("_c")).agg(F.collect_list(F.struct("category", "unit")).alias("_pack"))
     packs = packs.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
     spread = own.withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)).cast("array<bigint>")))
     spread = spread.withColumn("_s", F.pmod(F.xxhash64(key), F.lit(salts)))
-    parts = spread.join(packs, ["_c", "_s"]).select(key, compare(F.col("_pack")).alias("sims"))
-    return parts.groupBy(key).agg(F.flatten(F.collect_list("sims")).alias("sims"))
+    return spread.join(packs, ["_c", "_s"]).select(key, compare(F.col("_pack")).alias("sims")), False
+
+
+def _ordered() -> Column:
+    return F.transform("sims", lambda s: F.struct((-s["sim"]).alias("o"), s["category"].alias("category")))
 
 
 def rank_categories(docs: DataFrame, key: str, centroids: DataFrame) -> DataFrame:
     """``(key, category, sim, rank)``: every category of every document, best first, ties by name."""
-    ordered = F.array_sort(
-        F.transform("sims", lambda s: F.struct((-s["sim"]).alias("o"), s["category"].alias("category")))
-    )
-    return similarities(docs, key, centroids).select(key, F.posexplode(ordered).alias("_p", "s")).select(
-        key, F.col("s.category").alias("category"), (-F.col("s.o")).alias("sim"), (F.col("_p") + 1).cast("bigint").alias("rank")
+    sims, whole = similarities(docs, key, centroids)
+    if whole:
+        rows = sims.select(key, F.posexplode(F.array_sort(_ordered())).alias("_p", "s"))
+        rank = F.col("_p") + 1
+    else:
+        rows = sims.select(key, F.explode(_ordered()).alias("s"))
+        rank = F.row_number().over(Window.partitionBy(key).orderBy("s"))
+    return rows.select(
+        key, F.col("s.category").alias("category"), (-F.col("s.o")).alias("sim"), rank.cast("bigint").alias("rank")
     )
 
 
 def best_category(docs: DataFrame, key: str, centroids: DataFrame) -> DataFrame:
     """``(key, category, sim)`` of the nearest category."""
-    first = F.array_min(F.transform("sims", lambda s: F.struct((-s["sim"]).alias("o"), s["category"].alias("category"))))
-    best = similarities(docs, key, centroids).select(key, first.alias("s"))
+    sims, whole = similarities(docs, key, centroids)
+    best = sims.select(key, F.array_min(_ordered()).alias("s"))
+    if not whole:
+        best = best.groupBy(key).agg(F.min("s").alias("s"))
     return best.select(key, F.col("s.category").alias("category"), (-F.col("s.o")).alias("sim"))
 
 
