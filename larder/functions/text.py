@@ -86,14 +86,16 @@ def last_wins(entries: Column) -> Column:
 
 def safe_json(text: Column | str, schema: str) -> Column:
     """``struct<ok boolean, doc struct, text string>``: the parsed document, or the text if it cannot be parsed."""
-    raw = _col(text)
+    raw, fields = _col(text), T.StructType.fromDDL(schema).fieldNames()
     probe = T.StructType.fromDDL(schema).add("_bad", T.StringType())
     parsed = F.from_json(raw, probe, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    ok = parsed.isNotNull() & parsed["_bad"].isNull()
-    doc = F.struct(*[parsed[f.name].alias(f.name) for f in T.StructType.fromDDL(schema).fields])
-    return F.struct(
-        ok.alias("ok"), F.when(ok, doc).alias("doc"), F.when(~ok, raw).alias("text")
-    )
+
+    def result(d: Column) -> Column:
+        ok = d.isNotNull() & d["_bad"].isNull()
+        doc = F.struct(*[d[f].alias(f) for f in fields])
+        return F.struct(ok.alias("ok"), F.when(ok, doc).alias("doc"), F.when(~ok, raw).alias("text"))
+
+    return let(parsed, result)
 
 
 def key_of_path(path: Column | str) -> Column:

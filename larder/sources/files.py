@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder import schemas
+from larder.functions.bind import with_once
 from larder.functions.nutrients import fix_nutrition_labels, fix_recipes_labels, is_filled
 from larder.functions.text import flatten_map, processed_sibling, repair_json_line
 from larder.operators.filters import nonblank
@@ -41,9 +42,9 @@ def parse_lines(lines: DataFrame, schema: str, column: str = "value") -> tuple[D
     """Repaired and parsed documents, and a quarantine ``(line, reason)`` of those that are not JSON."""
     probe = T.StructType.fromDDL(schema).add("_bad", T.StringType())
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    parsed = nonblank(lines, column).select(
-        F.col(column).alias("_line"), F.from_json(repair_json_line(column), probe, options).alias("d")
-    )
+    # parsed once per line, though the filter and every field read the result
+    kept = nonblank(lines, column).select(F.col(column).alias("_line"))
+    parsed = with_once(kept, "d", F.from_json(repair_json_line("_line"), probe, options))
     good = F.col("d").isNotNull() & F.col("d._bad").isNull()
     docs = parsed.where(good).select("d.*").drop("_bad")
     bad = parsed.where(~good).select(F.col("_line").alias("line"), F.lit("not valid JSON after repair").alias("reason"))
