@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import decontaminate, repeats
+from larder.llm import decontaminate, jaccard, repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -34,3 +34,8 @@ def op6(spark: SparkSession, root: str) -> DataFrame:
 @query("op9_decontamination")
 def op9(spark: SparkSession, root: str) -> DataFrame:
     return decontaminate.contamination(table(spark, root, "documents"), table(spark, root, "benchmark"))
+
+
+@query("op2_ngram_jaccard_join")
+def op2(spark: SparkSession, root: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, root, "documents"))
