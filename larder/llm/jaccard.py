@@ -31,8 +31,7 @@ from pyspark.sql import functions as F
 
 from larder.llm import exchange
 from larder.llm.graph import components
-from larder.llm.words import NOT_SPACE, Texts, find_words, from_planes, mix, text_slices, to_planes, window_hashes
-from larder.llm.words import word_hashes
+from larder.llm.words import NOT_SPACE, Texts, find_words, mix, text_slices, window_hashes, word_hashes
 from larder.session import materialise
 
 SHINGLE = 4
@@ -43,9 +42,6 @@ RARE = 32
 #: Largest set whose frequent prefix tokens are indexed only as combinations of two.
 COMBINED = 300
 
-SENT = "bucket bigint, direct boolean, base bigint, docs binary, keys binary"
-SHARED = "k bigint, tokens array<bigint>"
-
 
 def shingle_sets(part: Texts, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(token, document) pairs in document order, tokens ascending, distinct; and the set size per document.
@@ -98,58 +94,25 @@ def set_classes(docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id") ->
 
 
 def _send(ids: np.ndarray, keys: np.ndarray, bits: int) -> pa.RecordBatch:
-    """Rows of one chunk: every distinct token once; tokens of several documents are known to be shared."""
-    order = np.lexsort((ids, keys))
+    """Rows of one chunk: every distinct token once; tokens of several documents are known to be shared.
+
+    A token that needs no answer goes with an id one below the smallest of the chunk.
+    """
+    order = np.argsort(keys, kind="stable")
     ids, keys = ids[order], keys[order]
     first = np.append(True, keys[1:] != keys[:-1])
     group = np.cumsum(first) - 1
     many = np.bincount(group) > 1
-    rows = []
-    inside = many[group]
-    for k, tokens in _by_document(ids[inside], keys[inside]):
-        rows.append(((1 << bits) + (k ^ len(rows)) % (1 << bits), True, k, b"", to_planes(tokens)))
-    ids, keys = ids[first], keys[first]
-    base = int(ids.min())
-    packed = np.where(many, 0, ids - base + 1).astype(np.uint64)  # 0: shared already, no answer needed
-    edges = exchange.bucket_edges(keys, bits)
-    for b in np.flatnonzero(np.diff(edges)).tolist():
-        cut = slice(edges[b], edges[b + 1])
-        rows.append((b, False, base, to_planes(packed[cut]), to_planes(keys[cut])))
-    columns = [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.binary()))]
-    return pa.RecordBatch.from_arrays(columns, names=["bucket", "direct", "base", "docs", "keys"])
-
-
-def _by_document(ids: np.ndarray, keys: np.ndarray):
-    order = np.argsort(ids, kind="stable")
-    ids, keys = ids[order], keys[order]
-    edges = np.append(np.flatnonzero(np.append(True, ids[1:] != ids[:-1])), len(ids)) if len(ids) else [0]
-    for a, b in zip(edges[:-1], edges[1:], strict=True):
-        yield int(ids[a]), keys[a:b]
-
-
-def _merge(table: pa.Table) -> pa.Table:
-    """One bucket: the tokens that another chunk has too, by document."""
-    if table.num_rows and table.column("direct")[0].as_py():
-        tokens = [from_planes(x.as_buffer()).view(np.int64) for x in table.column("keys").combine_chunks()]
-        return pa.table({"k": table.column("base"), "tokens": pa.array(tokens, pa.list_(pa.int64()))})
-    keys = np.concatenate([from_planes(x.as_buffer()) for x in table.column("keys").combine_chunks()])
-    bases = table.column("base").to_pylist()
-    ids = [from_planes(x.as_buffer()).astype(np.int64) for x in table.column("docs").combine_chunks()]
-    known = np.concatenate([x == 0 for x in ids])
-    ids = np.concatenate([x + (b - 1) for x, b in zip(ids, bases, strict=True)])
-    order = np.argsort(keys, kind="stable")
-    keys, ids, known = keys[order], ids[order], known[order]
-    group = np.cumsum(np.append(True, keys[1:] != keys[:-1])) - 1
-    answer = ((np.bincount(group) > 1)[group]) & ~known
-    rows = list(_by_document(ids[answer], keys[answer]))
-    return pa.table(
-        {"k": pa.array([r[0] for r in rows], pa.int64()), "tokens": pa.array([r[1].view(np.int64) for r in rows], pa.list_(pa.int64()))}
-    )
+    direct = exchange.answers(ids[many[group]], keys[many[group]], bits)
+    offset = int(ids.min()) - 1
+    return exchange.sent_rows(np.where(many, offset, ids[first]), keys[first], offset, direct, bits)
 
 
-def shared_tokens(docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id") -> DataFrame:
-    """(k, tokens): the tokens of a document that another document or class has too, in several rows."""
-    bits = exchange.bucket_bits(docs)
+def shared_tokens(docs: DataFrame, bits: int, size: int = SHINGLE, id_col: str = "doc_id") -> DataFrame:
+    """Packed (document, token) pairs whose token another document has too, by document group.
+
+    Of the equal sets in a chunk only the smallest ids so far go on, which always include the class's representative.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, keys, held, seen = [], [], 0, {}
@@ -158,7 +121,6 @@ def shared_tokens(docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id")
             for part in text_slices(batch.column(1)):
                 tokens, owner, sizes = shingle_sets(part, size)
                 own = doc_ids[part.first : part.first + len(part)]
-                # of equal sets in the chunk one goes on; every set's smallest id must, so a smaller one goes too
                 keep = np.zeros(len(part), bool)
                 for d, sig in enumerate(_signatures(tokens, sizes)):
                     if own[d] < seen.get(sig, exchange.NO_ID + 1):
@@ -172,8 +134,20 @@ def shared_tokens(docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id")
         if held:
             yield _send(np.concatenate(ids), np.concatenate(keys), bits)
 
+    def merge(table: pa.Table) -> pa.Table:
+        known = exchange.pass_direct(table, bits)
+        if known is not None:
+            return known
+        nothing = np.repeat(table.column("base").to_numpy(), [len(x.as_buffer()) // 8 for c in table.column("keys").chunks for x in c])
+        ids, keys = exchange.unpack(table)
+        order = np.argsort(keys, kind="stable")
+        ids, keys, nothing = ids[order], keys[order], nothing[order]
+        group = np.cumsum(np.append(True, keys[1:] != keys[:-1])) - 1
+        answer = (np.bincount(group) > 1)[group] & (ids != nothing)
+        return exchange.answer_table(exchange.answers(ids[answer], keys[answer], bits))
+
     rows = docs.select(exchange.key_of(F.col(id_col)).alias("k"), F.coalesce("text", F.lit("")).alias("t"))
-    return rows.mapInArrow(send, SENT).groupBy("bucket").applyInArrow(_merge, SHARED)
+    return rows.mapInArrow(send, exchange.SENT).groupBy("bucket").applyInArrow(merge, exchange.ANSWERS)
 
 
 def least_overlap(n: Column, percent: int) -> Column:
@@ -183,10 +157,26 @@ def least_overlap(n: Column, percent: int) -> Column:
 
 def candidates(docs: DataFrame, classes: DataFrame, size: int, percent: int, id_col: str) -> DataFrame:
     """(k, n, list): class representatives that may have a link, with their shared tokens as (frequency, token), rare first."""
+    bits = exchange.bucket_bits(docs)
     sizes = classes.where(F.col("k") == F.col("rep")).groupBy("k").agg(F.max("n_shingles").alias("n"))
-    shared = shared_tokens(docs, size, id_col).groupBy("k").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("tokens"))
-    enough = F.size("tokens") >= least_overlap(F.col("n"), percent)
-    some = materialise(sizes.join(shared, "k").where(enough), "shared-tokens")
+    sizes = sizes.withColumn("g", exchange.group_of(F.col("k"), bits))
+
+    def collect(owners: pa.Table, packed: pa.Table) -> pa.Table:
+        """The documents of a group that share enough tokens, with those tokens."""
+        ids, keys = exchange.unpack(packed)
+        order = np.lexsort((keys, ids))
+        ids, keys = ids[order], keys[order]
+        new = np.append(True, (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1]))[: len(ids)]
+        ids, keys = ids[new], keys[new]
+        k, n = owners.column("k").to_numpy(), owners.column("n").to_numpy()
+        low, high = np.searchsorted(ids, k), np.searchsorted(ids, k, "right")
+        enough = np.flatnonzero(high - low >= (n * percent + 99) // 100)
+        tokens = [keys[low[i] : high[i]].view(np.int64) for i in enough.tolist()]
+        return pa.table([pa.array(k[enough]), pa.array(n[enough]), pa.array(tokens, pa.list_(pa.int64()))], names=["k", "n", "tokens"])
+
+    packed = shared_tokens(docs, bits, size, id_col)
+    some = sizes.groupBy("g").cogroup(packed.groupBy("g")).applyInArrow(collect, "k bigint, n bigint, tokens array<bigint>")
+    some = materialise(some, "shared-tokens")
     rows = some.select("k", "n", F.explode("tokens").alias("t"))
     counts = rows.groupBy("t").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     lists = rows.join(counts, "t").groupBy("k", "n").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("list"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import decontaminate, jaccard, repeats
+from larder.llm import decontaminate, jaccard, quality, repeats, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +26,16 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_compression_quality")
+def op1(spark: SparkSession, root: str) -> DataFrame:
+    return quality.classify(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, root: str) -> DataFrame:
+    return toxicity.classify(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
 @query("op6_substring_dedup")
 def op6(spark: SparkSession, root: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, root, "documents"))

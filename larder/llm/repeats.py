@@ -18,12 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm import exchange
-from larder.llm.words import NOT_SPACE, Texts, Words, cover, find_words, from_planes, joined, mix, text_slices
-from larder.llm.words import to_planes, window_hashes, word_hashes
+from larder.llm.words import NOT_SPACE, Texts, Words, cover, find_words, joined, mix, text_slices
+from larder.llm.words import window_hashes, word_hashes
 
 WINDOW = 13
-SENT = "bucket bigint, direct boolean, base bigint, docs binary, keys binary"
-FOUND = "k bigint, keys binary"
 
 
 def _windows(part: Texts, window: int) -> tuple[Words, np.ndarray, np.ndarray]:
@@ -32,54 +30,23 @@ def _windows(part: Texts, window: int) -> tuple[Words, np.ndarray, np.ndarray]:
     return words, keys, starts
 
 
-def _by_document(ids: np.ndarray, keys: np.ndarray):
-    """(id, packed sorted keys) per document."""
-    order = np.lexsort((keys, ids))
+def _smallest(ids: np.ndarray, keys: np.ndarray):
+    """Pairs sorted by key and id, the mask of each key's first pair, and of pairs with a larger id than that."""
+    order = np.lexsort((ids, keys))
     ids, keys = ids[order], keys[order]
-    edges = np.append(np.flatnonzero(np.append(True, ids[1:] != ids[:-1])), len(ids)) if len(ids) else [0]
-    for a, b in zip(edges[:-1], edges[1:], strict=True):
-        yield int(ids[a]), to_planes(keys[a:b])
+    first = np.append(True, keys[1:] != keys[:-1])
+    return ids, keys, first, ids > ids[first][np.cumsum(first) - 1]
 
 
 def _send(ids: np.ndarray, keys: np.ndarray, bits: int) -> pa.RecordBatch:
-    """Rows of one chunk: per bucket the distinct windows with their smallest document, and what is known already."""
-    order = np.lexsort((ids, keys))
-    ids, keys = ids[order], keys[order]
-    first = np.append(True, keys[1:] != keys[:-1])
-    smallest = ids[first][np.cumsum(first) - 1]
-    later = ids > smallest
-    rows = []
-    for k, packed in _by_document(ids[later], keys[later]):
-        rows.append(((1 << bits) + (k ^ len(rows)) % (1 << bits), True, k, b"", packed))
-    ids, keys = ids[first], keys[first]
-    base = int(ids.min())
-    edges = exchange.bucket_edges(keys, bits)
-    for b in np.flatnonzero(np.diff(edges)).tolist():
-        cut = slice(edges[b], edges[b + 1])
-        rows.append((b, False, base, to_planes((ids[cut] - base).astype(np.uint64)), to_planes(keys[cut])))
-    columns = [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.binary()))]
-    return pa.RecordBatch.from_arrays(columns, names=["bucket", "direct", "base", "docs", "keys"])
-
-
-def _merge(table: pa.Table) -> pa.Table:
-    """One bucket: documents whose window another chunk has in a smaller document."""
-    if table.num_rows and table.column("direct")[0].as_py():
-        return table.select(["base", "keys"]).rename_columns(["k", "keys"])
-    keys = np.concatenate([from_planes(x.as_buffer()) for x in table.column("keys").combine_chunks()])
-    bases = table.column("base").to_pylist()
-    packed = table.column("docs").combine_chunks()
-    ids = np.concatenate([from_planes(x.as_buffer()).astype(np.int64) + b for x, b in zip(packed, bases, strict=True)])
-    order = np.lexsort((ids, keys))
-    ids, keys = ids[order], keys[order]
-    first = np.append(True, keys[1:] != keys[:-1])
-    later = ids > ids[first][np.cumsum(first) - 1]
-    rows = list(_by_document(ids[later], keys[later]))
-    return pa.table({"k": pa.array([r[0] for r in rows], pa.int64()), "keys": pa.array([r[1] for r in rows], pa.binary())})
+    """Rows of one chunk: the distinct windows with their smallest document, and what is known already."""
+    ids, keys, first, later = _smallest(ids, keys)
+    direct = exchange.answers(ids[later], keys[later], bits)
+    return exchange.sent_rows(ids[first], keys[first], int(ids.min()), direct, bits)
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id") -> DataFrame:
-    """(k, keys): packed hashes of a document's windows that occur in a document with a smaller id, in several rows."""
-    bits = exchange.bucket_bits(docs)
+def repeated_windows(docs: DataFrame, bits: int, window: int = WINDOW, id_col: str = "doc_id") -> DataFrame:
+    """Packed (document, window hash) pairs whose window occurs in a document with a smaller id, by document group."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, keys, held = [], [], 0
@@ -98,26 +65,54 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
         if held:
             yield _send(np.concatenate(ids), np.concatenate(keys), bits)
 
+    def merge(table: pa.Table) -> pa.Table:
+        known = exchange.pass_direct(table, bits)
+        if known is not None:
+            return known
+        ids, keys, _, later = _smallest(*exchange.unpack(table))
+        return exchange.answer_table(exchange.answers(ids[later], keys[later], bits))
+
     sent = docs.select(exchange.key_of(F.col(id_col)).alias("k"), F.coalesce("text", F.lit("")).alias("t"))
-    return sent.mapInArrow(send, SENT).groupBy("bucket").applyInArrow(_merge, FOUND)
+    return sent.mapInArrow(send, exchange.SENT).groupBy("bucket").applyInArrow(merge, exchange.ANSWERS)
 
 
-def _covered(part: Texts, ids_in_slice: list[list[bytes] | None], window: int) -> tuple[Words, np.ndarray]:
-    """Words and the mask of those to remove, given each document's packed window hashes."""
+def _covered(part: Texts, ids: np.ndarray, found: np.ndarray, window: int) -> tuple[Words, np.ndarray]:
+    """Words and the mask of those to remove; ``found`` has the sorted hashes of (document id, window) pairs to remove."""
     words, keys, starts = _windows(part, window)
-    found = [(d, from_planes(raw)) for d, rows in enumerate(ids_in_slice) if rows for raw in rows]
-    if not found or not len(keys):
-        return words, np.zeros(len(words.starts), bool)
-    wanted = np.concatenate([x ^ mix(np.full(1, d + 1, np.uint64)) for d, x in found])
     doc = np.searchsorted(words.bounds, starts, "right") - 1
-    hit = np.isin(keys ^ mix(doc.astype(np.uint64) + np.uint64(1)), wanted)
+    pairs = _pair(ids[part.first + doc], keys)
+    at = np.searchsorted(found, pairs)
+    at[at == len(found)] = 0
+    hit = found[at] == pairs if len(found) else np.zeros(len(pairs), bool)
     return words, cover(len(words.starts), starts[hit], window)
 
 
-def _with_windows(docs: DataFrame, window: int, id_col: str) -> DataFrame:
-    found = repeated_windows(docs, window, id_col).groupBy("k").agg(F.collect_list("keys").alias("found"))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), "text")
-    return rows.join(found, exchange.key_of(F.col("doc_id")) == F.col("k"), "left").select("doc_id", "text", "found")
+def _pair(ids: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    return keys ^ mix(ids.astype(np.uint64))
+
+
+def _per_document(docs: DataFrame, window: int, id_col: str, result, schema: str) -> DataFrame:
+    """``result(ids, part, words, removed)`` for slices of the documents of every group."""
+    bits = exchange.bucket_bits(docs)
+    found = repeated_windows(docs, bits, window, id_col)
+    ident = F.col(id_col).cast("bigint")
+    rows = docs.select(ident.alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), exchange.key_of(ident).alias("k"))
+    rows = rows.withColumn("g", exchange.group_of(F.col("k"), bits))
+
+    def run(texts: pa.Table, packed: pa.Table) -> pa.Table:
+        pairs = np.sort(_pair(*exchange.unpack(packed)))
+        ids = texts.column("k").to_numpy()
+        out = []
+        for part in text_slices(texts.column("text")):
+            words, gone = _covered(part, ids, pairs, window)
+            out.append(result(texts.column("doc_id").slice(part.first, len(part)), part, words, gone))
+        return pa.concat_tables(out) if out else empty
+
+    empty = result(pa.array([], pa.int64()), Texts(np.empty(0, np.uint8), np.zeros(1, np.int64), 0), *_NOTHING)
+    return rows.groupBy("g").cogroup(found.groupBy("g")).applyInArrow(run, schema)
+
+
+_NOTHING = Words(np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(1, np.int64)), np.zeros(0, bool)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id") -> DataFrame:
@@ -129,49 +124,28 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     don't remove each other's words. Other columns are ignored, whatever their names.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = batch.column(2)
-            for part in text_slices(batch.column(1)):
-                words, gone = _covered(part, found.slice(part.first, len(part)).to_pylist(), window)
-                total = np.concatenate([[0], np.cumsum(gone)])[words.bounds]
-                hashes = [hashlib.sha256(x).hexdigest() for x in joined(part, words, ~gone)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(part.first, len(part)),
-                        pa.array(words.counts()),
-                        pa.array(np.diff(total)),
-                        pa.array(hashes),
-                    ],
-                    names=["doc_id", "n_words", "n_removed", "kept_sha256"],
-                )
-
-    schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-    return _with_windows(docs, window, id_col).mapInArrow(run, schema)
-
+    def result(ids, part, words, gone):
+        total = np.concatenate([[0], np.cumsum(gone)])[words.bounds]
+        hashes = [hashlib.sha256(x).hexdigest() for x in joined(part, words, ~gone)]
+        columns = [ids, pa.array(words.counts()), pa.array(np.diff(total)), pa.array(hashes, pa.string())]
+        return pa.table(columns, names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-def removal_intervals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id") -> DataFrame:
-    """The maximal runs of removed words: (doc_id, first_word, n_words, kept_text) with the runs as arrays per document.
+    return _per_document(docs, window, id_col, result, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
 
-    Cases as in ``remove_repeats``.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = batch.column(2)
-            for part in text_slices(batch.column(1)):
-                words, gone = _covered(part, found.slice(part.first, len(part)).to_pylist(), window)
-                begins, sizes = [], []
-                for a, b in zip(words.bounds[:-1], words.bounds[1:], strict=True):
-                    edge = np.flatnonzero(np.diff(np.concatenate([[0], gone[a:b].astype(np.int8), [0]])))
-                    begins.append(edge[::2])
-                    sizes.append(edge[1::2] - edge[::2])
-                texts = [x.decode() for x in joined(part, words, ~gone)]
-                longs = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part.first, len(part)), pa.array(begins, longs), pa.array(sizes, longs), pa.array(texts)],
-                    names=["doc_id", "first_word", "n_words", "kept_text"],
-                )
+def removal_intervals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id") -> DataFrame:
+    """The maximal runs of removed words per document: (doc_id, first_word, n_words, kept_text). Cases as above."""
+    longs = pa.list_(pa.int64())
+
+    def result(ids, part, words, gone):
+        begins, sizes = [], []
+        for a, b in zip(words.bounds[:-1], words.bounds[1:], strict=True):
+            edge = np.flatnonzero(np.diff(np.concatenate([[0], gone[a:b].astype(np.int8), [0]])))
+            begins.append(edge[::2])
+            sizes.append(edge[1::2] - edge[::2])
+        texts = [x.decode() for x in joined(part, words, ~gone)]
+        columns = [ids, pa.array(begins, longs), pa.array(sizes, longs), pa.array(texts, pa.string())]
+        return pa.table(columns, names=["doc_id", "first_word", "n_words", "kept_text"])
 
     schema = "doc_id bigint, first_word array<bigint>, n_words array<bigint>, kept_text string"
-    return _with_windows(docs, window, id_col).mapInArrow(run, schema)
+    return _per_document(docs, window, id_col, result, schema)

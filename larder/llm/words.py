@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are turned into arrays at once; a single longer text is still taken whole.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
