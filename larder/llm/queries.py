@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import decontaminate, jaccard, quality, repeats, toxicity
+from larder.llm import decontaminate, jaccard, layout, mixing, quality, repeats, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,6 +31,11 @@ def op1(spark: SparkSession, root: str) -> DataFrame:
     return quality.classify(table(spark, root, "documents"), table(spark, root, "labels"))
 
 
+@query("op3_pfair_mixing")
+def op3(spark: SparkSession, root: str) -> DataFrame:
+    return mixing.mixed(table(spark, root, "documents"))
+
+
 @query("op4_toxicity")
 def op4(spark: SparkSession, root: str) -> DataFrame:
     return toxicity.classify(table(spark, root, "documents"), table(spark, root, "labels"))
@@ -41,6 +46,11 @@ def op6(spark: SparkSession, root: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, root, "documents"))
 
 
+@query("op8_hilbert_sharding")
+def op8(spark: SparkSession, root: str) -> DataFrame:
+    return layout.shards(table(spark, root, "documents"))
+
+
 @query("op9_decontamination")
 def op9(spark: SparkSession, root: str) -> DataFrame:
     return decontaminate.contamination(table(spark, root, "documents"), table(spark, root, "benchmark"))
