@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import decontaminate, jaccard, layout, mixing, quality, repeats, toxicity
+from larder.llm import decontaminate, jaccard, layout, mixing, quality, repeats, sketch, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -41,6 +41,11 @@ def op4(spark: SparkSession, root: str) -> DataFrame:
     return toxicity.classify(table(spark, root, "documents"), table(spark, root, "labels"))
 
 
+@query("op5_iblt_fingerprints")
+def op5(spark: SparkSession, root: str) -> DataFrame:
+    return sketch.edited_fingerprints(table(spark, root, "documents"))
+
+
 @query("op6_substring_dedup")
 def op6(spark: SparkSession, root: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, root, "documents"))
