@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import decontaminate, jaccard, layout, mixing, quality, repeats, sketch, toxicity
+from larder.llm import chat, chat_sql, decontaminate, jaccard, layout, mixing, packing, quality, repeats, sketch, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -51,6 +51,11 @@ def op6(spark: SparkSession, root: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, root, "documents"))
 
 
+@query("op7_tool_call_linking", chat_sql.FORMATTED)
+def op7(spark: SparkSession, root: str) -> DataFrame:
+    return chat.formatted(table(spark, root, "conversations"))
+
+
 @query("op8_hilbert_sharding")
 def op8(spark: SparkSession, root: str) -> DataFrame:
     return layout.shards(table(spark, root, "documents"))
@@ -64,3 +69,8 @@ def op9(spark: SparkSession, root: str) -> DataFrame:
 @query("op2_ngram_jaccard_join")
 def op2(spark: SparkSession, root: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, root, "documents"))
+
+
+@query("op10_packed_tokens")
+def op10(spark: SparkSession, root: str) -> DataFrame:
+    return packing.packed(table(spark, root, "documents"))
