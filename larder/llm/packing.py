@@ -48,51 +48,67 @@ def read_vocabulary(path: str) -> dict[bytes, int]:
 
 
 class Encoder:
-    """Ids of whole texts; equal to encoding each text by itself."""
+    """Ids of whole texts; equal to encoding each text by itself. Remembers pieces it has seen."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN):
         self.base = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.known: dict[bytes, list[int]] = {}
-
-    def piece(self, raw: bytes) -> list[int]:
-        ids = self.known.get(raw)
-        if ids is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            ids = self.known[raw] = self.base.encode_ordinary(raw.decode())
-        return ids
+        self.lengths = np.zeros(max(ranks.values()) + 1, np.int64)
+        for raw, i in ranks.items():
+            self.lengths[i] = len(raw)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.flat, self.begins, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Encode new pieces. Those from a blank to a non-blank keep their borders when they are laid end to end."""
+        joint = [p for p in pieces if _SPACE[p[0]] and not _SPACE[p[-1]] and (p.isascii() or not WIDE_SPACE.search(p.decode()))]
+        single = set(pieces).difference(joint)
+        ids = np.array(self.base.encode_ordinary(b"".join(joint).decode()), np.int32)
+        ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(p) for p in joint])) + 1 if joint else []
+        flat, sizes = [ids], [np.diff(ends, prepend=0)]
+        for p in single:
+            alone = self.base.encode_ordinary(p.decode())
+            flat.append(np.array(alone, np.int32))
+            sizes.append([len(alone)])
+        self.known.update(zip([*joint, *single], range(len(self.known), len(self.known) + len(pieces)), strict=True))
+        sizes = np.concatenate(sizes).astype(np.int64)
+        self.begins = np.append(self.begins, len(self.flat) + np.cumsum(sizes) - sizes)
+        self.sizes = np.append(self.sizes, sizes)
+        self.flat = np.concatenate([self.flat, *flat])
 
     def slice(self, part) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, bounds per text) of a slice."""
         data, n = part.data, len(part.data)
         if not n:
             return np.empty(0, np.int32), np.zeros(len(part) + 1, np.int64)
+        if len(self.known) > REMEMBERED:
+            self.forget()
         blank = _SPACE[data]
         cut = np.zeros(n, bool)
         cut[1:] = blank[1:] & ~blank[:-1]
         cut[part.offsets[:-1][np.diff(part.offsets) > 0]] = True
         starts = np.flatnonzero(cut)
         raw = data.tobytes()
-        ends = np.append(starts[1:], n)
         if (data >= 0x80).any() and WIDE_SPACE.search(raw.decode()):  # no cut inside texts with such blanks
-            whole = np.zeros(len(part), bool)
-            for d in range(len(part)):
-                whole[d] = bool(WIDE_SPACE.search(raw[part.offsets[d] : part.offsets[d + 1]].decode()))
-            firsts = np.isin(starts, part.offsets[:-1])
+            edges = zip(part.offsets[:-1].tolist(), part.offsets[1:].tolist(), strict=True)
+            whole = np.array([bool(WIDE_SPACE.search(raw[a:b].decode())) for a, b in edges])
             owner = np.searchsorted(part.offsets, starts, "right") - 1
-            starts = starts[firsts | ~whole[owner]]
-            ends = np.append(starts[1:], n)
+            starts = starts[np.isin(starts, part.offsets[:-1]) | ~whole[owner]]
+        ends = np.append(starts[1:], n)
         bounds = np.searchsorted(starts, part.offsets)
         hashes = word_hashes(part, Words(starts, ends, bounds), lower=False)
         _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        lists = [self.piece(raw[a:b]) for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for ids in lists for i in ids), np.int32, int(sizes.sum()))
-        begin = np.cumsum(sizes) - sizes
-        counts = sizes[which]
+        pieces = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+        new = [p for p in pieces if p not in self.known]
+        if new:
+            self._learn(new)
+        number = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))[which]
+        counts = self.sizes[number]
         total = np.cumsum(counts)
-        at = np.arange(total[-1]) + np.repeat(begin[which] - (total - counts), counts)
-        return flat[at], np.concatenate([[0], total])[bounds]
+        at = np.arange(total[-1]) + np.repeat(self.begins[number] - (total - counts), counts)
+        return self.flat[at], np.concatenate([[0], total])[bounds]
 
 
 class Rooms:
