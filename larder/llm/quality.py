@@ -107,7 +107,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = samples.sigmoid(features(sizes(batch.column(2), shared.value)) @ np.array(shared.value.weights))
+            p = samples.probability(features(sizes(batch.column(2), shared.value)) @ np.array(shared.value.weights))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(p), pa.array((p >= threshold).astype(np.int32))],
                 names=["doc_id", "held_out", "score", "predicted"],
@@ -125,7 +125,7 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = samples.sigmoid(features(sizes(batch.column(at), shared.value)) @ np.array(shared.value.weights))
+            p = samples.probability(features(sizes(batch.column(at), shared.value)) @ np.array(shared.value.weights))
             yield batch.filter(pa.array(p >= threshold))
 
     names = [f"c{i}" for i in range(len(docs.columns))]

@@ -137,7 +137,7 @@ def scores(column: pa.Array, model: Model) -> np.ndarray:
         ok = model.keys[at] == keys
         at, docs = distinct(at[ok], docs[ok])
         out[part.first : part.first + len(part)] += np.bincount(docs, model.weights[at], len(part))
-    return samples.sigmoid(out)
+    return samples.probability(out)
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
