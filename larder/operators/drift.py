@@ -42,9 +42,12 @@ def ks_p_value(d: Column, n1: Column, n2: Column, terms: int = SERIES_TERMS) ->
     return let(lam, series)
 
 
-def drift_measures(counts: DataFrame) -> DataFrame:
-    """Per column KS distance with p-value, Wasserstein-1 distance and the shift of the mean."""
-    ranked = prefix_sums(counts, ["column"], "value", ["r", "c"], few_groups=True)
+def drift_measures(counts: DataFrame, stored: bool = False) -> DataFrame:
+    """Per column KS distance with p-value, Wasserstein-1 distance and the shift of the mean.
+
+    ``stored`` says that the counts are a written table.
+    """
+    ranked = prefix_sums(counts, ["column"], "value", ["r", "c"], stored)
     gap = F.abs(
         (F.col("before_r") + F.col("r")) / F.col("all_r") - (F.col("before_c") + F.col("c")) / F.col("all_c")
     )
@@ -63,7 +66,7 @@ def drift_test(
 ) -> DataFrame:
     """KS test per column; the data set drifts if at least ``drift_share`` of the columns do."""
     counts = materialise(side_counts(reference, current, columns), "drift-counts")
-    tested = drift_measures(counts).select(
+    tested = drift_measures(counts, stored=True).select(
         "column", "ks", "p_value", (F.col("p_value") < alpha).cast("int").alias("drifted")
     )
     # the table has one row per tested column, so this window is as small as the column list
@@ -71,14 +74,11 @@ def drift_test(
     return tested.withColumn("dataset_drift", (share >= drift_share).cast("int"))
 
 
-    return Window.partitionBy(F.lit(0))
-
-
 def population_stability(counts: DataFrame, bins: int = 10, floor: float = 0.0001) -> DataFrame:
     """PSI per column on the reference's quantile bins; an empty bin counts as ``floor``."""
     cuts = [i / bins for i in range(1, bins)]
     edges = (
-        exact_quantiles(counts.where(F.col("r") > 0), ["column"], "value", cuts, weight="r", few_groups=True)
+        exact_quantiles(counts.where(F.col("r") > 0), ["column"], "value", cuts, weight="r")
         .groupBy("column")
         .agg(F.array_sort(F.collect_list("value")).alias("_edges"))
     )
@@ -101,4 +101,4 @@ def population_stability(counts: DataFrame, bins: int = 10, floor: float = 0.000
 def drift_report(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
     """All drift measures per column; the counts are stored, so that both sides are read once."""
     counts = materialise(side_counts(reference, current, columns), "drift-counts")
-    return drift_measures(counts).join(population_stability(counts), "column")
+    return drift_measures(counts, stored=True).join(population_stability(counts), "column")

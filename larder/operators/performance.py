@@ -40,21 +40,20 @@ def regression_quality(df: DataFrame, groups: list[str], target: str, prediction
     )
 
 
-def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
-    """Two-dimensional counts in place of a point cloud: bounds from one aggregate, cells from a second."""
-    ends = df.agg(
-        F.struct(
-            F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1")
-        ).alias("s")
-    ).scalar()
+def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 20, groups: list[str] | None = None) -> DataFrame:
+    """Two-dimensional counts per group in place of a point cloud: each group's bounds, then its cells."""
+    groups = groups or []
+    rows = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    bounds = F.struct(F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1")).alias("_s")
+    ends = rows.groupBy(*groups).agg(bounds)
+    rows = attach_small(rows, ends, groups) if groups else rows.withColumn("_s", ends.scalar())
 
     def cell(c: str, low: str, high: str) -> Column:
         width = (F.col(f"_s.{high}") - F.col(f"_s.{low}")) / bins
         return F.when(width > 0, F.least(F.floor((F.col(c) - F.col(f"_s.{low}")) / width), F.lit(bins - 1))).otherwise(0)
 
-    rows = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("_s", ends)
     return rows.groupBy(
-        cell(x, "x0", "x1").cast("bigint").alias("x_bin"), cell(y, "y0", "y1").cast("bigint").alias("y_bin")
+        *groups, cell(x, "x0", "x1").cast("bigint").alias("x_bin"), cell(y, "y0", "y1").cast("bigint").alias("y_bin")
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -122,7 +121,7 @@ def performance_report(
     points = qq_points(rows, groups, "error")
     report = {
         "quality": regression_quality(df, groups, target, prediction),
-        "predicted_vs_actual": scatter_bins(rows, target, prediction),
+        "predicted_vs_actual": scatter_bins(rows, target, prediction, groups=groups),
         "along_order": over_order(rows, groups, order, [target, prediction, "error", "ape"]),
         "error_distribution": histogram(rows, "error", 30, groups),
         "error_normality": points,
@@ -134,10 +133,21 @@ def performance_report(
     return report
 
 
+def long_part(name: str, part: DataFrame, groups: list[str]) -> DataFrame:
+    """A part of a report as ``(part, groups, key, measure, value)``: numbers as measures, other columns as the key."""
+    numbers = [c for c, kind in part.dtypes if kind == "double" or c == "n"]
+    keys = [c for c in part.columns if c not in numbers and c not in groups]
+    wide = part.select(
+        *groups, F.concat_ws("|", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in keys]).alias("key"),
+        *[F.col(c).cast("double").alias(c) for c in numbers],
+    )
+    return wide.unpivot([*groups, "key"], numbers, "measure", "value").select(F.lit(name).alias("part"), *groups, "key", "measure", "value")
+
+
 def rolling_report(log: DataFrame, window: int = 3000) -> dict[str, DataFrame]:
-    """Performance over the last ``window`` predictions of every model."""
-    recent = last_rows(log, window)
-    return performance_report(recent, ["model"], "target", "prediction", F.col("rn").cast("double"))
+    """Performance over the last ``window`` predictions of every model; the row order is that of time."""
+    recent = last_rows(log, window)  # rn is 1 for the newest row
+    return performance_report(recent, ["model"], "target", "prediction", -F.col("rn").cast("double"))
 
 
 def rolling_quality(log: DataFrame, window: int = 3000) -> DataFrame:

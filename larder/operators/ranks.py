@@ -6,14 +6,14 @@ buckets, and only bucket totals are ordered globally.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.session import cut
+from larder.session import cut, materialise
 
-SMALL = 100_000
+#: Range buckets per shuffle partition of the session, and their bounds' largest number: the size of one sketch.
+BUCKETS_PER_PARTITION = 4
+MAX_BUCKETS = 4096
 
 
 def value_counts(df: DataFrame, column: str, order: bool = False) -> DataFrame:
@@ -35,8 +35,6 @@ def kth_value(df: DataFrame, column: str, k: int) -> int | None:
     left = k
     while low < high:
         inside = df.where(col.between(low, high))
-        if n <= SMALL:
-            return inside.select(col).orderBy(col).offset(left - 1).limit(1).first()[0]
         width = max(1, -(-(high - low + 1) // 4096))
         ranges = inside.groupBy(F.expr(f"({column} - {low}L) div {width}L").alias("r")).count().orderBy("r").collect()
         for r, count in ranges:
@@ -81,32 +79,31 @@ def with_bucket(df: DataFrame, value: str, bounds: str, buckets: int) -> DataFra
     return out
 
 
-def attach_small(df: DataFrame, small: DataFrame, keys: list[str], limit: int = 10_000) -> DataFrame:
+def attach_small(df: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
     """Join a per-group summary to the rows it summarises.
 
-    The summary is computed once and stored; it is broadcast only if it has at most ``limit`` rows, else both sides
-    are shuffled and adaptive execution splits the large groups.
+    The summary is stored, so the planner knows its size: below the session's broadcast threshold it is broadcast and
+    no row moves; beyond, both sides are shuffled and adaptive execution splits the large groups.
     """
-    stored = cut(small)
-    return df.join(F.broadcast(stored) if stored.limit(limit + 1).count() <= limit else stored, keys)
+    return df.join(materialise(small, "summary"), keys)
 
 
 def _in_buckets(
-    counts: DataFrame, groups: list[str], value: str, sums: list[str], buckets: int, few_groups: bool
+    counts: DataFrame, groups: list[str], value: str, sums: list[str]
 ) -> tuple[DataFrame, DataFrame]:
     """Rows with a range bucket ``_b``, and one row per (group, bucket) with running and whole sums.
 
-    The bounds come from an approximate sketch; they only decide how even the buckets are, never a result.
+    The bounds come from an approximate sketch; they only decide how even the buckets are, never a result. Their
+    number follows the session's shuffle partitions, which are set for the size of the data; a task sorts with spilling.
     """
+    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(MAX_BUCKETS, BUCKETS_PER_PARTITION * partitions)
     cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     rows = counts.where(F.col(value).isNotNull())
-    # true for every count; reading the counts here lets all uses of `counts` share one exchange
-    counted = reduce(lambda a, b: a & b, [F.col(s) >= 0 for s in sums])
-    bounds = rows.where(counted).groupBy(*groups).agg(
+    bounds = rows.groupBy(*groups).agg(
         F.array_distinct(F.percentile_approx(value, cuts, F.lit(4 * buckets))).alias("_bounds")
     )
-    bounds = F.broadcast(bounds) if few_groups else bounds
-    placed = with_bucket(rows.join(bounds, groups), value, "_bounds", buckets).drop("_bounds")
+    placed = with_bucket(attach_small(rows, bounds, groups), value, "_bounds", buckets).drop("_bounds")
     totals = placed.groupBy(*groups, "_b").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums], F.min(value).alias("_first"))
     by_bucket = Window.partitionBy(*groups).orderBy("_b")
     earlier = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
@@ -123,19 +120,20 @@ def _in_buckets(
 
 
 def prefix_sums(
-    counts: DataFrame, groups: list[str], value: str, sums: list[str], buckets: int = 256, few_groups: bool = False
+    counts: DataFrame, groups: list[str], value: str, sums: list[str], stored: bool = False
 ) -> DataFrame:
     """Running sums over ordered distinct values, per group.
 
     ``counts`` has one row per (group, value). For every column s of ``sums`` the result has ``before_s`` (sum over
     smaller values) and ``all_s`` (sum of the group), plus ``next_value``. Values are cut into range buckets of
-    about equal row count, so a group with most of the rows is spread over ``buckets`` tasks. ``few_groups`` says that
-    the groups are a fixed short list (such as column names), so that their bounds may be broadcast.
+    about equal row count, so a group with most of the rows is spread over many tasks. The counts are read more than
+    once; they are written first unless ``stored`` says that they are a written table already.
     """
     if not groups:
         alone = counts.withColumn("_no_group", F.lit(0))
-        return prefix_sums(alone, ["_no_group"], value, sums, buckets, True).drop("_no_group")
-    placed, offsets = _in_buckets(counts, groups, value, sums, buckets, few_groups)
+        return prefix_sums(alone, ["_no_group"], value, sums, stored).drop("_no_group")
+    counts = counts if stored else materialise(counts, "counts")
+    placed, offsets = _in_buckets(counts, groups, value, sums)
     # one exchange on (group, bucket) serves the join and the window below; a partitioning by group alone would
     # satisfy the window too and leave a large group in one task
     placed = placed.repartition(*groups, "_b")
@@ -150,7 +148,7 @@ def prefix_sums(
 
 
 def exact_quantiles(
-    df: DataFrame, groups: list[str], value: str, qs: list[float], weight: str | None = None, few_groups: bool = False
+    df: DataFrame, groups: list[str], value: str, qs: list[float], weight: str | None = None
 ) -> DataFrame:
     """Interpolated quantiles per group: rows ``(groups, q, value)``.
 
@@ -159,10 +157,11 @@ def exact_quantiles(
     """
     if not groups:
         alone = df.withColumn("_no_group", F.lit(0))
-        return exact_quantiles(alone, ["_no_group"], value, qs, weight, True).drop("_no_group")
+        return exact_quantiles(alone, ["_no_group"], value, qs, weight).drop("_no_group")
     n = F.sum(weight) if weight else F.count(F.lit(1))
     counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(n.alias("n"))
-    placed, offsets = _in_buckets(counts, groups, value, ["n"], 256, few_groups)
+    counts = materialise(counts, "counts")
+    placed, offsets = _in_buckets(counts, groups, value, ["n"])
     wanted = F.array(*[F.lit(float(q)) for q in qs])
 
     def position(q: Column) -> Column:
@@ -176,8 +175,7 @@ def exact_quantiles(
 
     needed = offsets.where(F.size(hits(F.col("_o_n"), F.col("_t_n"))) > 0).select(*groups, "_b", "_o_n", "all_n")
     # at most two buckets per group and quantile
-    needed = F.broadcast(needed) if few_groups else needed
-    close = placed.join(needed, [*groups, "_b"])
+    close = attach_small(placed, needed, [*groups, "_b"])
     inside = Window.partitionBy(*groups, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     ranked = close.select(
         *groups, value, "n", "all_n", (F.col("_o_n") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("_at")
@@ -211,7 +209,7 @@ def top_n_per_group(
     return kept.withColumn(name, F.row_number().over(whole)).where(F.col(name) <= n)
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, hot_share: float = 0.001, how: str = "left") -> DataFrame:
+def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, hot_share: float = 0.001) -> DataFrame:
     """Join facts to a lookup table with unique keys when single keys may hold a large part of the facts.
 
     Keys that hold at least ``hot_share`` of the rows are found by one counted pass; there can be at most
@@ -219,11 +217,10 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, hot_share: float
     """
     total = facts.agg(F.count(F.lit(1)).alias("n"))
     counts = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") >= F.greatest(F.lit(1000.0), total.scalar() * hot_share)).select(key)
+    hot = counts.where(F.col("_n") >= total.scalar() * hot_share).select(key)
     hot_rows = F.broadcast(hot.join(lookup, key, "left").withColumn("_hot", F.lit(True)))
     first = facts.join(hot_rows, key, "left")
     extra = [c for c in lookup.columns if c != key]
     warm = first.where(F.col("_hot")).drop("_hot")
     rest = first.where(F.col("_hot").isNull()).drop("_hot", *extra).join(lookup, key, "left")
-    both = warm.unionByName(rest)
-    return both if how == "left" else both.where(F.coalesce(*[F.col(c).isNotNull() for c in extra[:1]]))
+    return warm.unionByName(rest)

@@ -21,8 +21,9 @@ from larder.schemas import FEATURES
 from larder.session import fresh_path, materialise
 from larder.sources import tables
 
-SMALL_GRID = {
-    "n_estimators": [3, 6], "learning_rate": [0.1], "max_depth": [3], "subsample": [1.0], "colsample_bytree": [0.8, 1.0],
+#: Two values of every parameter; the operator's default is the full grid.
+TRIAL_GRID = {
+    "n_estimators": [2, 4], "learning_rate": [0.1, 0.3], "max_depth": [2, 3], "subsample": [0.8, 1.0], "colsample_bytree": [0.8, 1.0],
 }
 
 
@@ -37,10 +38,11 @@ def stored_features(t: Tables) -> DataFrame:
 @query("kmeans_clusters")
 def kmeans_clusters(t: Tables) -> DataFrame:
     """k-means with ten clusters on the scores: size, range and center of each."""
-    scores = clu.weighted_scores(views.features(t))
-    model = clu.fit_kmeans(scores)
-    return model.transform(scores).groupBy(F.col("prediction").alias("cluster")).agg(
-        F.sum("n").cast("bigint").alias("n"), F.min("score").alias("low"), F.max("score").alias("high")
+    scores = materialise(clu.weighted_scores(views.features(t)), "scores")
+    cuts = clu.fit_kmeans(scores)
+    return scores.groupBy(clu.cluster_of(F.col("score"), cuts).alias("cluster")).agg(
+        F.sum("n").cast("bigint").alias("n"), F.min("score").alias("low"), F.max("score").alias("high"),
+        F.round(F.sum(F.col("score") * F.col("n")) / F.sum("n"), 6).alias("center"),
     )
 
 
@@ -57,11 +59,11 @@ WIDE = """wide AS (
 
 @query("ward_clusters")
 def ward_clusters(t: Tables) -> DataFrame:
-    """Ward clustering of the retail prices into ten clusters: size and range of each."""
-    scores = clu.weighted_scores(t("part"), "p_retailprice")
-    cuts = clu.fit_ward(scores, 10, "p_retailprice")
-    return scores.groupBy(clu.cluster_of(F.col("p_retailprice"), cuts).alias("cluster")).agg(
-        F.sum("n").cast("bigint").alias("n"), F.min("p_retailprice").alias("low"), F.max("p_retailprice").alias("high")
+    """Ward clustering of all line-item prices into ten clusters: size and range of each."""
+    scores = materialise(clu.weighted_scores(t("lineitem"), "l_extendedprice"), "scores")
+    cuts = clu.fit_ward(scores, 10, "l_extendedprice")
+    return scores.groupBy(clu.cluster_of(F.col("l_extendedprice"), cuts).alias("cluster")).agg(
+        F.sum("n").cast("bigint").alias("n"), F.min("l_extendedprice").alias("low"), F.max("l_extendedprice").alias("high")
     )
 
 
@@ -78,8 +80,8 @@ def calinski(t: Tables) -> DataFrame:
 
 @query("cluster_sweep")
 def cluster_sweep(t: Tables) -> DataFrame:
-    """Silhouette and Calinski-Harabasz for several k and both methods, on all line-item quantities."""
-    return clu.sweep(t("lineitem").select(F.col("l_quantity").alias("score")), range(2, 5))
+    """Silhouette and Calinski-Harabasz for k = 2 to 19 and both methods, on the scores of all foods."""
+    return clu.sweep(views.features(t).select("score"))
 
 
 @query("cluster_validation")
@@ -120,17 +122,16 @@ def linear_r2(t: Tables) -> DataFrame:
 
 @query("boosted_grid")
 def boosted_grid(t: Tables) -> DataFrame:
-    """Trial table of a small grid, best R2 on the validation set first."""
+    """Trial table of a grid with two values of every parameter, best R2 on the validation set first."""
     rows = stored_features(t)
-    trials, _best = reg.grid_search(term(rows, "label", "training"), term(rows, "label", "validation"), SMALL_GRID)
-    return trials
+    return reg.grid_search(term(rows, "label", "training"), term(rows, "label", "validation"), TRIAL_GRID)[0]
 
 
 def fitted_models(t: Tables, rows: DataFrame) -> dict[str, object]:
-    """Both models fitted on the training rows, saved, registered and loaded again."""
+    """The linear model and the best boosted trial, fitted on the training rows, saved, registered and loaded again."""
     training = term(rows, "label", "training")
     root = fresh_path(t.spark, "models")
-    best = {"n_estimators": 5, "learning_rate": 0.1, "max_depth": 3, "subsample": 1.0, "colsample_bytree": 1.0}
+    _, best = reg.grid_search(training, term(rows, "label", "validation"), TRIAL_GRID)
     registry, run = f"{root}/registry", "run-1"
     tables.save_model(t.spark, reg.fit_linear(training), f"{root}/linear_regression_model", registry, run, "linear_regression_model")
     tables.save_model(t.spark, reg.fit_boosted(training, best), f"{root}/xgboost_model", registry, run, "xgboost_model")
@@ -160,15 +161,46 @@ def residual_table(t: Tables) -> DataFrame:
 
 @query("model_report")
 def model_report(t: Tables) -> DataFrame:
-    """Performance report of a model on the validation and testing sets: the parts with their row counts."""
+    """Performance report of the linear model on 13 features: every measure of every part, per labelled set."""
     rows = stored_features(t)
-    model = reg.fit_linear(term(rows, "label", "training"), ["protein", "sodium"])
-    scored = reg.predict(model, rows.where(F.col("label") != "training"), features=["protein", "sodium"])
+    model = reg.fit_linear(term(rows, "label", "training"))
+    scored = materialise(reg.predict(model, rows.where(F.col("label") != "training")), "scored")
     report = performance.performance_report(
         scored, ["label"], "score", "predictions", F.col("fid").cast("double"), FEATURES
     )
-    counts = [part.select(F.lit(name).alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("n")) for name, part in report.items()]
-    return concat_sets(*counts)
+    parts = [performance.long_part(name, part, ["label"]) for name, part in report.items()]
+    return rounded(concat_sets(*parts), [], 4)
+
+
+@query(
+    "linear_predictions",
+    f"""WITH {LABELED_SQL}, fit AS (SELECT regr_slope(score, sodium) AS a, regr_intercept(score, sodium) AS b FROM labeled WHERE label = 'training')
+    SELECT fid, label, round(score, 4) AS target, round(a * sodium + b, 4) AS prediction FROM labeled, fit WHERE label <> 'training'""",
+)
+def linear_predictions(t: Tables) -> DataFrame:
+    """A saved and loaded model of one feature: the prediction of every validation and testing row."""
+    rows = stored_features(t)
+    path = fresh_path(t.spark, "models")
+    tables.save_model(t.spark, reg.fit_linear(term(rows, "label", "training"), ["sodium"]), f"{path}/linear", f"{path}/registry", "run-1", "linear")
+    model = tables.load_model(LinearRegressionModel, f"{path}/linear")
+    scored = reg.predict(model, rows.where(F.col("label") != "training"), features=["sodium"])
+    return scored.select("fid", "label", F.round("score", 4).alias("target"), F.round("predictions", 4).alias("prediction"))
+
+
+@query(
+    "linear_residual_bins",
+    f"""WITH {LABELED_SQL}, fit AS (SELECT regr_slope(score, sodium) AS a, regr_intercept(score, sodium) AS b FROM labeled WHERE label = 'training'),
+    r AS (SELECT score - (a * sodium + b) AS residual, sodium AS x FROM labeled, fit WHERE label = 'validation'),
+    e AS (SELECT min(x) AS lo, (max(x) - min(x)) / 20 AS w FROM r)
+    SELECT least(floor((x - lo) / w), 19)::BIGINT AS bin, count(*) AS n, round(avg(residual), 4) AS residual_mean FROM r, e GROUP BY ALL""",
+)
+def linear_residual_bins(t: Tables) -> DataFrame:
+    """Mean residual of a model of one feature over bins of that feature."""
+    rows = stored_features(t)
+    model = reg.fit_linear(term(rows, "label", "training"), ["sodium"])
+    scored = reg.predict(model, term(rows, "label", "validation"), features=["sodium"])
+    bins = reg.residual_bins(materialise(reg.residual_rows(scored, "score", "predictions", ["sodium"]), "residuals"))
+    return bins.where("feature = 'sodium'").select("bin", "n", F.round("residual_mean", 4).alias("residual_mean"))
 
 
 @query(

@@ -190,7 +190,7 @@ LINE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount"]
 def line_drift(t: Tables) -> DataFrame:
     """Early against late shipments of all line items."""
     early = F.col("l_shipdate") < F.lit("1998-06-01").cast("timestamp_ntz")
-    lines = t.spread("lineitem", "l_orderkey")
+    lines = t("lineitem")
     done = drift.drift_report(lines.where(early), lines.where(~early), LINE_COLUMNS)
     return done.select("column", F.round("ks", 6).alias("ks"), F.round("wasserstein", 4).alias("wasserstein"), F.round("p_value", 6).alias("p_value"), F.round("psi", 6).alias("psi"))
 

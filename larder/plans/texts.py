@@ -92,7 +92,7 @@ def safe_json(t: Tables) -> DataFrame:
 
 @query("nonblank_lines", "SELECT doc_id, line_no, length(line) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents) WHERE trim(line) <> ''")
 def nonblank_lines(t: Tables) -> DataFrame:
-    rows = t.spread("documents", "doc_id").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "value"))
+    rows = t("documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "value"))
     return nonblank(rows).select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), F.length("value").cast("bigint").alias("n"))
 
 
@@ -217,7 +217,7 @@ def measures(t: Tables) -> DataFrame:
     units = F.when(F.col("l_returnflag") == "A", F.when(F.col("l_linestatus") == "O", "gram").otherwise("mg")).when(
         F.col("l_returnflag") == "N", F.when(F.col("l_linestatus") == "O", "IUs").otherwise("percentage")
     ).otherwise(F.when(F.col("l_linestatus") == "O", "microgram").otherwise(""))
-    return t.spread("lineitem", "l_orderkey").select(
+    return t("lineitem").select(
         "l_orderkey", "l_linenumber", F.get(names, F.col("l_linenumber") - 1).alias("nutrient"), units.alias("unit"),
         F.col("l_quantity").alias("amount"),
     )
@@ -352,7 +352,7 @@ def parse_text(t: Tables) -> DataFrame:
     f"SELECT token, count(*) AS uses, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{WORD}')) AS token FROM documents) GROUP BY token",
 )
 def token_counts(t: Tables) -> DataFrame:
-    rows = cat.token_rows(t.spread("documents", "doc_id"), "doc_id", "text")
+    rows = cat.token_rows(t("documents"), "doc_id", "text")
     return rows.groupBy("token").agg(F.sum("n").alias("uses"), F.count(F.lit(1)).alias("docs"))
 
 
@@ -362,7 +362,7 @@ def token_counts(t: Tables) -> DataFrame:
 )
 def bonus(t: Tables) -> DataFrame:
     """Token bonus over whole texts, with a lexicon of words that occur in them."""
-    docs = t.spread("documents", "doc_id")
+    docs = t("documents")
     return docs.select("doc_id", F.round(superfood_bonus(F.col("text"), ["the", "and", "les"]), 6).alias("bonus"))
 
 
@@ -373,7 +373,7 @@ def bonus(t: Tables) -> DataFrame:
 def drop_words(t: Tables) -> DataFrame:
     """Distinct words of a text that are not in a removal lexicon."""
     left = txt.drop_words(txt.tokens("text"), ["the", "and", "les"])
-    return t.spread("documents", "doc_id").select("doc_id", F.size(left).cast("bigint").alias("words"))
+    return t("documents").select("doc_id", F.size(left).cast("bigint").alias("words"))
 
 
 VECTORS = f"""words AS (SELECT DISTINCT unnest(regexp_extract_all(lower(p_name), '{WORD}')) AS token FROM part),
@@ -489,7 +489,7 @@ def label_similarity(t: Tables) -> DataFrame:
 @query("embed_texts")
 def embed_texts(t: Tables) -> DataFrame:
     """Whole texts encoded by the seeded hashing encoder."""
-    return emb.embed(t.spread("documents", "doc_id"), "doc_id", "text").select(
+    return emb.embed(t("documents"), "doc_id", "text").select(
         "id", F.size("embedding").alias("size"), F.transform("embedding", lambda x: F.round(x.cast("double"), 4)).cast("string").alias("embedding")
     )
 
@@ -497,7 +497,7 @@ def embed_texts(t: Tables) -> DataFrame:
 @query("embed_batches", "SELECT batch, count(*) AS n FROM (SELECT ntile(10) OVER (ORDER BY doc_id) AS batch FROM documents) GROUP BY batch")
 def embed_batches(t: Tables) -> DataFrame:
     """Ten even batches of embedded texts."""
-    done = emb.embed_in_batches(t.spread("documents", "doc_id"), "doc_id", "text")
+    done = emb.embed_in_batches(t("documents"), "doc_id", "text")
     return done.where(F.size("embedding") > 0).groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -29,14 +29,6 @@ class Tables:
     def __call__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 
-    def spread(self, name: str, key: str) -> DataFrame:
-        """The table for CPU-heavy work: a file too small to give every core a split is repartitioned by key.
-
-        A table with at least as many splits as cores is read as it is.
-        """
-        df, cores = self(name), self.spark.sparkContext.defaultParallelism
-        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
 
 def _entry(name: str, amount: Column, unit: Column | str) -> list[Column]:
     unit_col = F.lit(unit) if isinstance(unit, str) else unit
@@ -54,7 +46,7 @@ def order_facts(t: Tables) -> DataFrame:
         F.max("l_linenumber").alias("hi_line"), F.min("l_linenumber").alias("lo_line"),
         F.min("l_partkey").alias("partkey"), F.count(F.lit(1)).alias("lines"),
     )
-    orders = t.spread("orders", "o_orderkey").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    orders = t("orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
     names = t("part").select(c("p_partkey").alias("partkey"), c("p_name").alias("description"))
     return (
         orders.join(items, c("o_orderkey") == c("l_orderkey"), "left")
@@ -185,7 +177,7 @@ def food_lines(t: Tables) -> DataFrame:
 def document_lines(t: Tables) -> DataFrame:
     """Whole texts as damaged JSON lines: a line break becomes an unknown escape, a quote a valid one."""
     body = F.replace(F.replace(F.col("text"), F.lit("\n"), F.lit("\\q")), F.lit('"'), F.lit('\\"'))
-    return t.spread("documents", "doc_id").select(
+    return t("documents").select(
         "doc_id", F.concat(F.lit('{"doc"='), F.col("doc_id"), F.lit(', "text"="'), body, F.lit('"}')).alias("value")
     )
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(app: str = "larder", cores: str = "8") -> SparkSession:
-    """Session for tests and the local benchmark. On a cluster, pass the cluster's own session instead."""
+def local_session(app: str = "larder", cores: str = "8", shared: str | None = None) -> SparkSession:
+    """Session for tests and the local benchmark. On a cluster, pass the cluster's own session instead.
+
+    ``shared`` is the folder for intermediate tables; the default is a fresh temporary folder of this machine.
+    """
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -18,8 +22,12 @@ def local_session(app: str = "larder", cores: str = "8") -> SparkSession:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")
+        # small local files: splits of 1 MB at least instead of one split for the whole file
+        .config("spark.sql.files.maxPartitionBytes", "4m")
+        .config("spark.sql.files.openCostInBytes", "1m")
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", shared or tempfile.mkdtemp(prefix="larder-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -29,13 +37,13 @@ def local_session(app: str = "larder", cores: str = "8") -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can read: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session may go without it; there a fresh temporary folder is chosen once and kept in the
-    session, so that a cluster never falls back to a disk that dies with its machine.
+    Only a session within one process may go without it, such as the tests'; there a fresh temporary folder is chosen
+    once and kept in the session. A cluster never falls back to a disk that dies with its machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("larder.scratch.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="larder-")
     spark.conf.set("larder.scratch.dir", path)

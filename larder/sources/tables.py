@@ -30,11 +30,26 @@ def append(docs: DataFrame, path: str, partition_by: list[str] | None = None) ->
     return seen.get["n"]
 
 
-def append_new(docs: DataFrame, path: str, key: str) -> int:
-    """Append only documents whose key the collection does not have; one document per key."""
-    from larder.operators.joins import unknown
-
-    return append(unknown(docs.dropDuplicates([key]), scan(docs.sparkSession, path), key), path)
+def append_new(docs: DataFrame, path: str, key: str, order: str | None = None) -> int:
+    """Append only documents whose key the collection does not have; returns the number of rows added.
+
+    Of several documents with one key the one with the smallest ``order`` counts (by default the smallest row hash).
+    Documents without a key can't be recognised again: see ``keyless``.
+    """
+    from larder.operators.joins import one_per_key, unknown
+
+    keyed = docs.where(F.col(key).isNotNull())
+    if order is None:
+        plain = F.xxhash64(*[F.to_json(c) if kind.startswith(("map", "struct", "array")) else c for c, kind in keyed.dtypes])
+        single = one_per_key(keyed.withColumn("_order", plain), key, "_order").drop("_order")
+    else:
+        single = one_per_key(keyed, key, order)
+    return append(unknown(single.select(*docs.columns), scan(docs.sparkSession, path), key), path)
+
+
+def keyless(docs: DataFrame, key: str) -> DataFrame:
+    """Quarantine rows ``(line, reason)`` of the documents that have no key."""
+    return docs.where(F.col(key).isNull()).select(F.to_json(F.struct("*")).alias("line"), F.lit(f"no {key}").alias("reason"))
 
 
 def export(docs: DataFrame, path: str) -> DataFrame:

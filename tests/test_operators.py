@@ -68,8 +68,7 @@ def test_number_rows(table, rows):
     assert [(r["v"], r["id"]) for r in got] == sorted((v, i) for i, _, v in rows)
 
 
-def test_kth_value(spark, monkeypatch):
-    monkeypatch.setattr(ranks, "SMALL", 10)
+def test_kth_value(spark):
     rnd = random.Random(5)
     values = [rnd.randrange(-10**12, 10**12) for _ in range(400)] + [5] * 200
     df = spark.createDataFrame([(v,) for v in values], "k bigint")
@@ -258,11 +257,8 @@ def test_ward_on_separated_data(spark):
     rnd = random.Random(4)
     values = [(round(c + rnd.random(), 3),) for c in (0, 10, 20, 40) for _ in range(50)]
     scores = clusters.weighted_scores(spark.createDataFrame(values, "score double"))
-    cuts = clusters.fit_ward(scores, 4)
-    assert len(cuts) == 3 and all(a < c < b for c, (a, b) in zip(cuts, ((1, 10), (11, 20), (21, 40))))
-    binned = clusters.summaries(scores, limit=25)
-    assert len(binned) <= 25 and sum(w for _, w in binned) == 200
-    assert len(clusters.ward_cuts(binned, [4])[4]) == 3
+    for cuts in (clusters.fit_ward(scores, 4), clusters.fit_kmeans(scores, 4)):
+        assert len(cuts) == 3 and all(a < c < b for c, (a, b) in zip(cuts, ((1, 10), (11, 20), (21, 40))))
 
 
 def brute_ward(points, k):
@@ -280,11 +276,84 @@ def brute_ward(points, k):
 def test_ward_equals_all_pairs(spark):
     rnd = random.Random(8)
     points = [rnd.gauss(0, 5) for _ in range(40)]
-    cuts = clusters.ward_cuts([(p, 1.0) for p in sorted(points)], [5])[5]
-    got = {}
-    for p in points:
-        got.setdefault(sum(p > c for c in cuts), []).append(p)
-    assert sorted(sorted(g) for g in got.values()) == brute_ward(points, 5)
+    scores = clusters.weighted_scores(spark.createDataFrame([(p,) for p in points], "score double"))
+    for run_rows in (8, 11, 1000):
+        cuts = clusters.ward_cuts(clusters.ward_merges(scores, run_rows=run_rows), [5])[5]
+        got = {}
+        for p in points:
+            got.setdefault(sum(p > c for c in cuts), []).append(p)
+        assert sorted(sorted(g) for g in got.values()) == brute_ward(points, 5)
+
+
+def one_by_one(values):
+    """Heights of the Ward merges of weighted sorted values, always the cheapest neighbours next."""
+    means, weights = [v for v, _ in values], [w for _, w in values]
+    lows, highs, out = list(means), list(means), {}
+    while len(means) > 1:
+        m, w = np.array(means), np.array(weights)
+        cost = w[:-1] * w[1:] / (w[:-1] + w[1:]) * np.diff(m) ** 2
+        i = int(np.argmin(cost))
+        out[(highs[i] + lows[i + 1]) / 2] = float(cost[i])
+        total = weights[i] + weights[i + 1]
+        means[i] = (means[i] * weights[i] + means[i + 1] * weights[i + 1]) / total
+        weights[i], highs[i] = total, highs[i + 1]
+        for rows in (means, weights, lows, highs):
+            del rows[i + 1]
+    return out
+
+
+def test_ward_of_many_distinct_values(spark):
+    """Far more distinct scores than one run holds: the whole hierarchy equals the one-by-one merge."""
+    rnd = random.Random(13)
+    counts = {}
+    for _ in range(9000):
+        v = round(rnd.choice([rnd.gauss(0, 1), rnd.expovariate(0.2), rnd.uniform(30, 31)]), 4)
+        counts[v] = counts.get(v, 0) + 1
+    assert len(counts) > 5000
+    scores = spark.createDataFrame([(v, float(n)) for v, n in counts.items()], "score double, n double")
+    want = one_by_one(sorted((v, float(n)) for v, n in counts.items()))
+    got = {r["border"]: r["cost"] for r in clusters.ward_merges(scores, run_rows=900).collect()}
+    assert got.keys() == want.keys() and all(got[b] == pytest.approx(want[b], rel=1e-6) for b in want)
+
+
+def test_ward_few_values(spark):
+    for values in ([], [(1.0,)], [(1.0,), (1.0,)], [(1.0,), (2.0,), (None,)]):
+        scores = clusters.weighted_scores(spark.createDataFrame(values, "score double"))
+        distinct = len({v for v, in values if v is not None})
+        assert len(clusters.fit_ward(scores, 10)) == max(0, distinct - 1)
+        assert len(clusters.fit_kmeans(scores, 10)) == max(0, distinct - 1)
+
+
+def test_silhouette_equals_all_pairs(spark):
+    rnd = random.Random(21)
+    points = sorted(round(rnd.gauss(0, 3), 2) for _ in range(120)) + [50.0]
+    cuts = [-2.0, 0.5, 20.0]
+    label = [sum(p > c for c in cuts) for p in points]
+    widths = []
+    for p, c in zip(points, label):
+        own = [abs(p - q) for q, d in zip(points, label) if d == c]
+        if len(own) == 1:
+            widths.append(0.0)
+            continue
+        a = sum(own) / (len(own) - 1)
+        b = min(statistics.fmean(abs(p - q) for q, e in zip(points, label) if e == d) for d in set(label) - {c})
+        widths.append((b - a) / max(a, b))
+    scores = clusters.weighted_scores(spark.createDataFrame([(p,) for p in points], "score double"))
+    rows = scores.withColumn("cluster", clusters.cluster_of(F.col("score"), cuts))
+    assert clusters.silhouette(rows, "cluster").first()["silhouette"] == pytest.approx(statistics.fmean(widths))
+
+
+def test_kmeans_is_a_fixed_point(spark):
+    rnd = random.Random(3)
+    df = spark.createDataFrame([(rnd.gauss(0, 1),) for _ in range(500)], "score double")
+    a = clusters.kmeans_centers(clusters.weighted_scores(df), [2, 7])
+    assert a == clusters.kmeans_centers(clusters.weighted_scores(df.repartition(3)), [2, 7]) or all(
+        x == pytest.approx(y) for k in a for x, y in zip(a[k], clusters.kmeans_centers(clusters.weighted_scores(df), [k])[k]))
+    rows = [r["score"] for r in df.collect()]
+    for k, centers in a.items():
+        cuts = clusters.borders(centers)
+        for i, c in enumerate(centers):
+            assert statistics.fmean(r for r in rows if sum(r > x for x in cuts) == i) == pytest.approx(c, abs=1e-6)
 
 
 def test_cluster_measures(spark):
