@@ -37,7 +37,11 @@ def drop_words(words: Column, lexicon: list[str]) -> Column:
 
 
 def flatten_map(bag: Column | str, nested: bool = False) -> Column:
-    """``k: v/n`` text of a map; with ``nested`` the values are maps themselves."""
+    """``k: v/n`` text of a map; with ``nested`` the values are maps themselves.
+
+    The old text form: a field with several units runs on in lines of their own, so only one-unit fields come back
+    from :func:`parse_text`. :func:`flatten_fields` is the form that can always be read back.
+    """
 
     def leaf(m: Column) -> Column:
         return F.array_join(
@@ -52,6 +56,47 @@ def flatten_map(bag: Column | str, nested: bool = False) -> Column:
     )
 
 
+def flatten_fields(bag: Column | str) -> Column:
+    """Text of a map of maps that :func:`parse_fields` reads back: a line ``field: unit: value`` for every unit.
+
+    Backslashes, colons and line ends inside names and values are escaped. A field without units keeps a line ``field:``.
+    """
+
+    def safe(c: Column) -> Column:
+        slashes = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+        return F.replace(F.replace(slashes, F.lit(":"), F.lit("\\c")), F.lit("\n"), F.lit("\\n"))
+
+    def field(e: Column) -> Column:
+        units = F.transform(
+            F.map_entries(e["value"]),
+            lambda u: F.concat(safe(e["key"]), F.lit(": "), safe(u["key"]), F.lit(": "), safe(F.coalesce(u["value"], F.lit("")))),
+        )
+        return F.when(F.coalesce(F.size(e["value"]), F.lit(0)) < 1, F.array(F.concat(safe(e["key"]), F.lit(":")))).otherwise(units)
+
+    return F.array_join(F.flatten(F.transform(F.map_entries(_col(bag)), field)), "\n")
+
+
+def parse_fields(text: Column | str) -> Column:
+    """Inverse of :func:`flatten_fields`: ``map<field, map<unit, value>>``; a null value comes back as empty text."""
+
+    def plain(c: Column) -> Column:
+        # a doubled backslash is set aside while the other escapes are undone
+        aside = F.replace(c, F.lit("\\\\"), F.lit("\u0000"))
+        undone = F.replace(F.replace(aside, F.lit("\\c"), F.lit(":")), F.lit("\\n"), F.lit("\n"))
+        return F.replace(undone, F.lit("\u0000"), F.lit("\\"))
+
+    lines = F.filter(F.split(_col(text), "\n"), lambda s: s != "")
+    parts = F.transform(lines, lambda s: F.split(s, ": ?", 3))
+    names = F.array_distinct(F.transform(parts, lambda p: p[0]))
+
+    def units(name: Column) -> Column:
+        own = F.filter(parts, lambda p: (p[0] == name) & (F.size(p) == 3))
+        entries = F.transform(own, lambda p: F.struct(plain(p[1]).alias("key"), plain(p[2]).alias("value")))
+        return F.struct(plain(name).alias("key"), F.map_from_entries(entries).alias("value"))
+
+    return F.map_from_entries(F.transform(names, units))
+
+
 def parse_text(text: Column | str) -> Column:
     """Inverse of :func:`flatten_map` for one entry per line: ``map<field, struct<units, value>>``.
 

@@ -98,6 +98,22 @@ def population_stability(counts: DataFrame, bins: int = 10, floor: float = 0.000
     )
 
 
+def rolling_drift(log: DataFrame, window: int, model: str = "model", ident: str = "fid") -> DataFrame:
+    """Drift of the targets and predictions of each model's last ``window`` rows against the rows before them.
+
+    ``column`` is ``model.target`` or ``model.prediction``. Each row of the log is marked once as old or recent by its key.
+    """
+    from larder.operators.splits import last_rows
+
+    recent = last_rows(log, window).select(model, ident, F.lit(1).alias("_recent"))
+    marked = log.join(recent, [model, ident], "left").withColumn("_recent", F.coalesce("_recent", F.lit(0)))
+    long = marked.unpivot([model, "_recent"], ["target", "prediction"], "_part", "value").where(F.col("value").isNotNull())
+    counts = long.groupBy(F.concat_ws(".", model, "_part").alias("column"), "value").agg(
+        F.sum(1 - F.col("_recent")).alias("r"), F.sum("_recent").alias("c")
+    )
+    return drift_measures(counts)
+
+
 def drift_report(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
     """All drift measures per column; the counts are stored, so that both sides are read once."""
     counts = materialise(side_counts(reference, current, columns), "drift-counts")

@@ -175,7 +175,7 @@ def model_report(t: Tables) -> DataFrame:
 @query(
     "linear_predictions",
     f"""WITH {LABELED_SQL}, fit AS (SELECT regr_slope(score, sodium) AS a, regr_intercept(score, sodium) AS b FROM labeled WHERE label = 'training')
-    SELECT fid, label, round(score, 4) AS target, round(a * sodium + b, 4) AS prediction FROM labeled, fit WHERE label <> 'training'""",
+    SELECT fid, label, score AS target, round(a * sodium + b, 4) AS prediction FROM labeled, fit WHERE label <> 'training'""",
 )
 def linear_predictions(t: Tables) -> DataFrame:
     """A saved and loaded model of one feature: the prediction of every validation and testing row."""
@@ -184,7 +184,7 @@ def linear_predictions(t: Tables) -> DataFrame:
     tables.save_model(t.spark, reg.fit_linear(term(rows, "label", "training"), ["sodium"]), f"{path}/linear", f"{path}/registry", "run-1", "linear")
     model = tables.load_model(LinearRegressionModel, f"{path}/linear")
     scored = reg.predict(model, rows.where(F.col("label") != "training"), features=["sodium"])
-    return scored.select("fid", "label", F.round("score", 4).alias("target"), F.round("predictions", 4).alias("prediction"))
+    return scored.select("fid", "label", F.col("score").alias("target"), F.round("predictions", 4).alias("prediction"))
 
 
 @query(

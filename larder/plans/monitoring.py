@@ -204,21 +204,8 @@ def line_drift(t: Tables) -> DataFrame:
 )
 def target_drift(t: Tables) -> DataFrame:
     """Targets and predictions of the last 500 rows of each model against the rows before them."""
-    log = views.prediction_log(t)
-    recent = splits.last_rows(log, 500)
-    older = log.join(recent.select("model", "fid"), ["model", "fid"], "left_anti")
-
-    def side(df: DataFrame, is_ref: int) -> DataFrame:
-        long = df.unpivot(["model"], ["target", "prediction"], "part", "value")
-        name = F.concat_ws(".", "model", "part").alias("column")
-        return long.groupBy(name, "value").agg(F.count(F.lit(1)).alias("n")).select(
-            "column", "value", (F.col("n") * is_ref).alias("r"), (F.col("n") * (1 - is_ref)).alias("c")
-        )
-
-    counts = side(older, 1).unionByName(side(recent, 0)).groupBy("column", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
-    return drift.drift_measures(counts).select(
-        "column", F.round("ks", 6).alias("ks"), F.round("p_value", 6).alias("p_value"), "n_ref", "n_cur"
-    )
+    found = drift.rolling_drift(views.prediction_log(t), 500)
+    return found.select("column", F.round("ks", 6).alias("ks"), F.round("p_value", 6).alias("p_value"), "n_ref", "n_cur")
 
 
 # --- model performance --------------------------------------------------------------------------------------------
@@ -273,6 +260,18 @@ def predicted_vs_actual(t: Tables) -> DataFrame:
     return performance.scatter_bins(views.prediction_log(t), "target", "prediction")
 
 
+@query(
+    "report_scatter",
+    f"""WITH {LOG_SQL}, e AS (SELECT model, min(target) x0, max(target) x1, min(prediction) y0, max(prediction) y1 FROM log GROUP BY model)
+    SELECT model, least(floor((target - x0) / ((x1 - x0) / 20)), 19)::BIGINT AS x_bin, least(floor((prediction - y0) / ((y1 - y0) / 20)), 19)::BIGINT AS y_bin,
+    count(*) AS n FROM log JOIN e USING (model) GROUP BY ALL""",
+)
+def report_scatter(t: Tables) -> DataFrame:
+    """Predicted against actual values of every model, as the performance report gives them."""
+    log = views.prediction_log(t)
+    return performance.performance_report(log, ["model"], "target", "prediction", F.col("fid").cast("double"))["predicted_vs_actual"]
+
+
 @query(
     "errors_over_order",
     f"""WITH {LOG_SQL}, o AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY fid) - 1 AS b, count(*) OVER (PARTITION BY model) AS n FROM log)
@@ -362,10 +361,10 @@ def last_n_window(t: Tables) -> DataFrame:
     return splits.last_rows(views.prediction_log(t), 1000).select("model", "fid", "rn")
 
 
-@query("rolling_quality", f"WITH {LOG_SQL}, {RECENT.format(n=3000)} SELECT model, {QUALITY} FROM recent GROUP BY model")
+@query("rolling_quality", f"WITH {LOG_SQL}, {RECENT.format(n=700)} SELECT model, {QUALITY} FROM recent GROUP BY model")
 def rolling_quality(t: Tables) -> DataFrame:
-    """Quality over the last 3,000 predictions of every model."""
-    return rounded(performance.rolling_quality(views.prediction_log(t)), [])
+    """Quality over the last 700 predictions of every model."""
+    return rounded(performance.rolling_quality(views.prediction_log(t), 700), [])
 
 
 @query(

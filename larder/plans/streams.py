@@ -31,6 +31,20 @@ def stream_ingest(t: Tables) -> DataFrame:
     return tables.scan(t.spark, collection).select("fid", "id", F.round("score", 6).alias("score"))
 
 
+@query(
+    "stream_quarantine",
+    f"""WITH {FACTS} SELECT o_orderpriority AS priority, count(*) AS lines FROM facts WHERE o_orderpriority = '5-LOW' GROUP BY ALL""",
+)
+def stream_quarantine(t: Tables) -> DataFrame:
+    """Damaged lines that the ingest stream sets aside, by the priority in them."""
+    source, collection = fresh_path(t.spark, "lines"), fresh_path(t.spark, "foods")
+    quarantine, checkpoint = fresh_path(t.spark, "quarantine"), fresh_path(t.spark, "ingest-state")
+    views.food_lines(t).select("value").write.text(source)
+    ingest.ingest_stream(t.spark, source, collection, checkpoint, quarantine=quarantine).awaitTermination()
+    bad = tables.scan(t.spark, quarantine)
+    return bad.groupBy(F.regexp_extract("line", r"(\d-[A-Z ]+)", 1).alias("priority")).agg(F.count(F.lit(1)).alias("lines"))
+
+
 def log_stream(t: Tables) -> DataFrame:
     """The events table read as a stream of predictions."""
     events = t("events")
@@ -46,14 +60,14 @@ def log_stream(t: Tables) -> DataFrame:
 
 @query(
     "stream_rolling",
-    f"""WITH {LOG_SQL}, recent AS (SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY model ORDER BY ts DESC, fid) <= 3000)
+    f"""WITH {LOG_SQL}, recent AS (SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY model ORDER BY ts DESC, fid) <= 700)
     SELECT model, {QUALITY} FROM recent GROUP BY model""",
 )
 def stream_rolling(t: Tables) -> DataFrame:
     """Rolling quality kept up by a stream over the prediction log."""
     log, report = fresh_path(t.spark, "log"), fresh_path(t.spark, "report")
-    monitor.run_rolling(log_stream(t), log, report, fresh_path(t.spark, "rolling-state")).awaitTermination()
-    return rounded(tables.scan(t.spark, report), [])
+    monitor.run_rolling(log_stream(t), log, report, fresh_path(t.spark, "rolling-state"), 700).awaitTermination()
+    return rounded(monitor.latest_report(t.spark, report), [])
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder import schemas
@@ -318,32 +318,84 @@ def score_recipe(t: Tables) -> DataFrame:
     return score_recipes(docs, views._score).select("fid", "score")
 
 
+RECIPE_TEXT = """recipe AS (SELECT fid, description, o_orderstatus, hi_line, lo_line, hi_qty, lo_qty, lines,
+    o_orderpriority IN ('1-URGENT', '2-HIGH') AS urgent, o_orderpriority = '3-MEDIUM' AS medium FROM facts WHERE lines IS NOT NULL),
+units AS (
+  SELECT fid, 1 AS place, 'total_fat' AS field, CASE o_orderstatus WHEN 'P' THEN 'milligram' ELSE 'gram' END AS unit, (CASE o_orderstatus WHEN 'P' THEN lo_line * 100 ELSE hi_line END)::VARCHAR AS v FROM recipe
+  UNION ALL SELECT fid, 2, 'protein', CASE WHEN urgent THEN 'grams' WHEN medium THEN 'g' ELSE 'percentage' END, hi_qty::INT::VARCHAR FROM recipe
+  UNION ALL SELECT fid, 3, 'sodium', CASE o_orderstatus WHEN 'O' THEN 'gram' ELSE 'milligram' END, (CASE o_orderstatus WHEN 'O' THEN hi_line ELSE hi_qty::INT END)::VARCHAR FROM recipe
+  UNION ALL SELECT fid, 4, 'dietary_fiber', CASE WHEN urgent THEN NULL ELSE 'gram' END, CASE WHEN urgent THEN NULL WHEN medium THEN 'na' ELSE lo_qty::INT || '%' END FROM recipe
+  UNION ALL SELECT fid, 5, 'vitamin A', CASE WHEN urgent THEN 'IU' WHEN medium THEN 'percentage' ELSE 'mcg' END, (hi_line * 10)::VARCHAR FROM recipe
+  UNION ALL SELECT fid, 6, 'calories', 'kcal', hi_qty::INT::VARCHAR FROM recipe
+  UNION ALL SELECT fid, 7, 'servings', 'na', lines::VARCHAR FROM recipe
+  UNION ALL SELECT fid, 8, 'stardust', 'pinch', lo_line::VARCHAR FROM recipe
+  UNION ALL SELECT fid, 9, 'stardust', 'cup', '9' FROM recipe)"""
+
+
 @query(
     "flatten_text",
-    f"""WITH {FACTS} SELECT fid, 'total_fat: ' || CASE o_orderstatus WHEN 'P' THEN 'milligram: ' || (lo_line * 100) ELSE 'gram: ' || hi_line END || '/n'
-    || 'calories: kcal: ' || hi_qty::INT || '/n' || 'stardust: pinch: ' || lo_line || '/n' || 'cup: 9/n' AS text FROM facts WHERE lines IS NOT NULL""",
+    f"""WITH {FACTS}, {RECIPE_TEXT} SELECT fid, string_agg(CASE WHEN place = 9 THEN '' ELSE field || ': ' END || CASE WHEN unit IS NULL THEN '' ELSE unit || ': ' || v || '/n' END, '' ORDER BY place) AS text
+    FROM units GROUP BY fid""",
 )
 def flatten_text(t: Tables) -> DataFrame:
-    kept = F.map_filter("nutrients", lambda k, _v: k.isin("total_fat", "calories", "stardust"))
-    return views.recipes(t).select("fid", txt.flatten_map(kept, nested=True).alias("text"))
+    """The whole bag of every recipe in the old text form."""
+    return views.recipes(t).select("fid", txt.flatten_map("nutrients", nested=True).alias("text"))
 
 
 @query(
     "parse_text",
     f"""WITH {FACTS} SELECT fid, CASE o_orderstatus WHEN 'P' THEN 'milligram' ELSE 'gram' END AS fat_unit,
-    CASE o_orderstatus WHEN 'P' THEN lo_line * 100 ELSE hi_line END::VARCHAR AS fat, '9' AS cup, 4 AS entries FROM facts WHERE lines IS NOT NULL""",
+    CASE o_orderstatus WHEN 'P' THEN lo_line * 100 ELSE hi_line END::VARCHAR AS fat, lines::VARCHAR AS servings FROM facts WHERE lines IS NOT NULL""",
 )
 def parse_text(t: Tables) -> DataFrame:
-    """Text of a bag back to fields."""
-    kept = F.map_filter("nutrients", lambda k, _v: k.isin("total_fat", "calories", "stardust"))
-    parsed = views.recipes(t).select("fid", txt.parse_text(txt.flatten_map(kept, nested=True)).alias("m"))
+    """Old text form of the whole bag back to fields; fields with one unit come back as they were."""
     bag = F.col("m")
-    return parsed.select(
-        "fid", bag["total_fat"]["units"].alias("fat_unit"), bag["total_fat"]["value"].alias("fat"),
-        bag["cup"]["value"].alias("cup"), F.size(bag).alias("entries"),
+    return views.recipes(t).select("fid", txt.parse_text(txt.flatten_map("nutrients", nested=True)).alias("m")).select(
+        "fid", bag["total_fat"]["units"].alias("fat_unit"), bag["total_fat"]["value"].alias("fat"), bag["servings"]["value"].alias("servings"),
     )
 
 
+@query(
+    "text_round_trip",
+    f"""WITH {FACTS}, {RECIPE_TEXT} SELECT fid, string_agg(field || '|' || coalesce(unit, '') || '|' || coalesce(v, ''), ';' ORDER BY place) AS bag, 1 AS same
+    FROM units GROUP BY fid""",
+)
+def text_round_trip(t: Tables) -> DataFrame:
+    """Whole bags written as text and read back: every field with every unit."""
+    rows = with_once(views.recipes(t), "back", txt.parse_fields(txt.flatten_fields("nutrients")))
+    none = F.array(F.struct(F.lit("").alias("key"), F.lit("").alias("value")))
+
+    def listed(bag: str) -> Column:
+        def units(e: Column) -> Column:
+            entries = F.when(F.size(e["value"]) > 0, F.map_entries(e["value"])).otherwise(none)
+            return F.transform(entries, lambda u: F.concat_ws("|", e["key"], u["key"], u["value"]))
+
+        return F.array_join(F.flatten(F.transform(F.map_entries(F.col(bag)), units)), ";")
+
+    return rows.select("fid", listed("back").alias("bag"), (listed("back") == listed("nutrients")).cast("int").alias("same"))
+
+
+@query(
+    "append_null_keys",
+    """WITH docs AS (SELECT CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_custkey END AS k, o_orderkey AS v FROM orders)
+    SELECT 'collection' AS part, k, min(v) AS v, 1 AS n FROM docs WHERE k IS NOT NULL GROUP BY k
+    UNION ALL SELECT 'quarantine', NULL, NULL, count(*) FROM docs WHERE k IS NULL HAVING count(*) > 0
+    UNION ALL SELECT 'added by the second call', NULL, NULL, 0""",
+)
+def append_null_keys(t: Tables) -> DataFrame:
+    """Documents with repeated and null keys appended twice: the first of each key is added once, the keyless are set aside."""
+    docs = t("orders").select(F.when(F.col("o_orderkey") % 10 != 0, F.col("o_custkey")).alias("k"), F.col("o_orderkey").alias("v"))
+    path = fresh_path(t.spark, "keyed")
+    tables.append_new(docs, path, "k", "v")
+    again = tables.append_new(docs, path, "k", "v")
+    one = F.lit(1).cast("bigint")
+    kept = tables.scan(t.spark, path).select(F.lit("collection").alias("part"), "k", "v", one.alias("n"))
+    lost = tables.keyless(docs, "k").agg(F.count(F.lit(1)).alias("n")).where("n > 0")
+    none = F.lit(None).cast("bigint")
+    second = t.spark.range(1).select(F.lit("added by the second call").alias("part"), none.alias("k"), none.alias("v"), F.lit(again).cast("bigint").alias("n"))
+    return kept.unionByName(lost.select(F.lit("quarantine").alias("part"), none.alias("k"), none.alias("v"), "n")).unionByName(second)
+
+
 # --- tokens, superfoods, vectors ----------------------------------------------------------------------------------
 
 
