@@ -39,6 +39,9 @@ SHINGLE = 4
 PERCENT = 85
 #: A token in at most this many candidate documents is rare.
 RARE = 32
+#: Tokens are hashes of 56 bits; the empty low byte costs nothing in a shuffle. Two texts of 10,000 tokens have a false
+#: common one with a chance of one in a billion.
+TOKEN_BITS = ~np.uint64(0xFF)
 #: Largest set whose frequent prefix tokens are indexed only as combinations of two.
 COMBINED = 300
 
@@ -59,6 +62,7 @@ def shingle_sets(part: Texts, size: int) -> tuple[np.ndarray, np.ndarray, np.nda
         for j in range(n):
             rows = mix(rows * np.uint64(31) + hashes[words.bounds[short] + j] + np.uint64(n))
         keys, docs = np.append(keys, rows), np.append(docs, short)
+    keys &= TOKEN_BITS
     order = np.lexsort((keys, docs))
     keys, docs = keys[order], docs[order]
     new = np.ones(len(keys), bool)
@@ -89,7 +93,8 @@ def set_classes(docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id") ->
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("t"))
     signed = rows.mapInArrow(run, "doc_id bigint, n_shingles bigint, sig binary")
     signed = materialise(signed.withColumn("k", exchange.key_of(F.col("doc_id"))), "signatures")
-    classes = signed.where("n_shingles > 0").groupBy("sig").agg(F.min("k").alias("rep"))
+    # written first, so that the join deals out both sides itself and can split a class with very many copies
+    classes = materialise(signed.where("n_shingles > 0").groupBy("sig").agg(F.min("k").alias("rep")), "representatives")
     return materialise(signed.join(classes, "sig", "left").select("doc_id", "n_shingles", "k", "rep"), "classes")
 
 
@@ -177,9 +182,10 @@ def candidates(docs: DataFrame, classes: DataFrame, size: int, percent: int, id_
     packed = shared_tokens(docs, bits, size, id_col)
     some = sizes.groupBy("g").cogroup(packed.groupBy("g")).applyInArrow(collect, "k bigint, n bigint, tokens array<bigint>")
     some = materialise(some, "shared-tokens")
-    rows = some.select("k", "n", F.explode("tokens").alias("t"))
+    rows = some.select("k", F.explode("tokens").alias("t"))
     counts = rows.groupBy("t").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    lists = rows.join(counts, "t").groupBy("k", "n").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("list"))
+    lists = rows.join(counts, "t").groupBy("k").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("list"))
+    lists = lists.join(some.select("k", "n"), "k").select("k", "n", "list")
     return materialise(lists.where(F.size("list") >= least_overlap(F.col("n"), percent)), "candidates")
 
 
