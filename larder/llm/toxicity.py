@@ -23,10 +23,10 @@ from larder.llm.words import ALNUM, Words, find_words, mix, text_slices, word_ha
 
 #: Bounds of the training sets: confirmed toxic texts, unlabelled texts, and the characters taken of each.
 POSITIVE_ROWS = 3000
-UNLABELLED_ROWS = 9000
-PIECE_CHARS = 8000
-#: A feature counts if at least so many training texts have it.
-LEAST_TEXTS = 12
+UNLABELLED_ROWS = 6000
+PIECE_CHARS = 6000
+#: A feature counts if at least so many training texts, and toxic ones among them, have it.
+LEAST_TEXTS, LEAST_TOXIC = 12, 3
 STEPS, RATE = 300, 0.02
 #: The first fit is held short by a strong penalty and selects features; the second fits those with a weak one.
 SELECT_RIDGE, RIDGE, SELECT_SHARE = 5e-3, 1e-4, 0.1
@@ -58,38 +58,39 @@ def distinct(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], docs[first]
 
 
-def _presence(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    keys, docs, first = [], [], 0
+def _presence(texts: list[str], only: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(feature, text) pairs, a slice of texts at a time; with ``only`` just those sorted features, as their indices."""
+    keys, docs, first = [np.empty(0, np.uint64 if only is None else np.int64)], [np.empty(0, np.int64)], 0
     for part in text_slices(pa.array(texts, pa.string())):
         k, d = distinct(*text_features(part))
+        if only is not None:
+            at = np.searchsorted(only, k)
+            at[at == len(only)] = 0
+            known = only[at] == k if len(only) else np.zeros(len(k), bool)
+            k, d = at[known], d[known]
         keys.append(k)
         docs.append(d + first)
         first += len(part)
-    return (np.concatenate(keys), np.concatenate(docs)) if keys else (np.empty(0, np.uint64), np.empty(0, np.int64))
+    return np.concatenate(keys), np.concatenate(docs)
 
 
 def fit(positive: list[str], unlabelled: list[str], prior: float) -> Model:
     """Full-batch Adam on the non-negative risk with logistic loss; the iterates of the second half are averaged.
 
-    Without positive or unlabelled texts all scores are the prior.
+    A feature must occur in LEAST_TOXIC toxic texts and in LEAST_TEXTS texts. Without toxic or unlabelled texts all
+    scores are the prior.
     """
     prior = min(max(prior, 1e-4), 0.9)
     start = float(np.log(prior / (1 - prior)))
     if not positive or not unlabelled:
         return Model(np.empty(0, np.uint64), np.empty(0), start)
-    pk, pd = _presence(positive)
-    uk, ud = _presence(unlabelled)
-    keys, counts = np.unique(np.concatenate([pk, uk]), return_counts=True)
-    keys = keys[counts >= LEAST_TEXTS]
-    keys = keys[np.isin(keys, pk)]  # a feature that no toxic text has can't raise a score
-
-    def rows(k, d):
-        at = np.searchsorted(keys, k)
-        at[at == len(keys)] = 0
-        ok = keys[at] == k if len(keys) else np.zeros(len(k), bool)
-        return at[ok], d[ok]
-
-    (pi, pd), (ui, ud) = rows(pk, pd), rows(uk, ud)
+    keys, counts = np.unique(_presence(positive)[0], return_counts=True)
+    keys = keys[counts >= LEAST_TOXIC]
+    (pi, pd), (ui, ud) = _presence(positive, keys), _presence(unlabelled, keys)
+    often = np.bincount(pi, minlength=len(keys)) + np.bincount(ui, minlength=len(keys)) >= LEAST_TEXTS
+    code = np.cumsum(often) - 1
+    pi, pd, ui, ud = code[pi[often[pi]]], pd[often[pi]], code[ui[often[ui]]], ud[often[ui]]
+    keys = keys[often]
     n_p, n_u = len(positive), len(unlabelled)
     w, _ = descend(pi, pd, ui, ud, n_p, n_u, len(keys), prior, SELECT_RIDGE)
     large = w >= SELECT_SHARE * w.max(initial=0)
