@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,13 +29,8 @@ def unit_vector(a: Column) -> Column:
     )
 
 
-def vector_size(df: DataFrame, column: str) -> int:
-    """Length of the vectors in a column, read from one row."""
-    row = df.where(F.col(column).isNotNull()).select(F.size(column).alias("n")).first()
-    return row["n"] if row else 0
-
-
-def mean_vectors(df: DataFrame, keys: list[str], column: str, size: int) -> DataFrame:
-    """Mean vector per key: one average per position, combined on the map side, with no row per position."""
-    means = [F.expr(f"avg(cast(get(`{column}`, {i}) AS double)) AS _m{i}") for i in range(size)]
-    return df.groupBy(*keys).agg(*means).select(*keys, F.array(*[f"_m{i}" for i in range(size)]).alias(column))
+def mean_vectors(df: DataFrame, keys: list[str], column: str, weight: str | None = None) -> DataFrame:
+    """Mean vector per key, of any length: one aggregate of whole vectors, combined on the map side; nulls are left out."""
+    known = df.where(F.col(column).isNotNull()).withColumn("_v", array_to_vector(F.col(column).cast("array<double>")))
+    mean = Summarizer.mean(F.col("_v"), F.col(weight).cast("double")) if weight else Summarizer.mean(F.col("_v"))
+    return known.groupBy(*keys).agg(mean.alias("_m")).select(*keys, vector_to_array("_m").alias(column))

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larder.functions.text import tokens
 from larder.functions.vectors import dot, mean_vectors, unit_vector
-from larder.operators.ranks import lookup_join
+from larder.operators.ranks import lookup_join, number_rows
+from larder.session import materialise
 
-CENTROIDS_PER_CHUNK = 64
+#: Categories compared in one scan of the documents.
+CATEGORY_BLOCK = 512
 
 # A short default; pass a (category, keyword) table for a full lexicon.
 DEFAULT_LEXICON = {
@@ -46,42 +50,36 @@ def token_rows(df: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def text_vectors(rows: DataFrame, key: str, token_vectors: DataFrame, size: int) -> DataFrame:
-    """Mean vector of the known tokens of every key; a key without known tokens has no row.
+def text_vectors(rows: DataFrame, key: str, token_vectors: DataFrame) -> DataFrame:
+    """Mean vector of the known tokens of every key, of any length; a key without known tokens has no row.
 
-    ``rows`` is ``(key, token, n)``. Tokens used in a large share of the texts are looked up by broadcast, the rest
-    by a shuffle; the mean is combined on the map side.
+    ``rows`` is ``(key, token, n)``. One aggregate of whole vectors, weighted by ``n`` and combined on the map side.
     """
-    found = lookup_join(rows, token_vectors, "token").where(F.col("vector").isNotNull())
-    sums = [F.expr(f"sum(cast(get(vector, {i}) AS double) * n) AS _s{i}") for i in range(size)]
-    summed = found.groupBy(key).agg(F.sum("n").alias("_n"), *sums)
-    parts = ", ".join(f"_s{i} / _n" for i in range(size))
-    return summed.select(key, F.expr(f"array({parts}) AS vector"))
+    return mean_vectors(lookup_join(rows, token_vectors, "token"), [key], "vector", "n")
 
 
-def category_centroids(lexicon: DataFrame, token_vectors: DataFrame, size: int) -> DataFrame:
+def category_centroids(lexicon: DataFrame, token_vectors: DataFrame) -> DataFrame:
     """``(category, vector)``: mean vector of the tokens of all keywords; repeated tokens count again."""
-    return text_vectors(token_rows(lexicon, "category", "keyword"), "category", token_vectors, size)
+    return text_vectors(token_rows(lexicon, "category", "keyword"), "category", token_vectors)
 
 
-def group_centroids(vectors: DataFrame, group: str, column: str, size: int) -> DataFrame:
+def group_centroids(vectors: DataFrame, group: str, column: str) -> DataFrame:
     """``(category, vector)`` as the mean of labelled vectors."""
     named = vectors.select(F.col(group).cast("string").alias("category"), F.col(column).alias("vector"))
-    return mean_vectors(named, ["category"], "vector", size)
-
+    return mean_vectors(named, ["category"], "vector")
 
-def similarities(docs: DataFrame, key: str, centroids: DataFrame) -> tuple[DataFrame, bool]:
-    """``(key, sims)`` with arrays of ``struct<sim, category>``, and whether a document has one row for all categories.
 
-    Similarities are rounded to nine places, so that equal categories tie whatever the order of summation was.
+def similarities(docs: DataFrame, key: str, centroids: DataFrame) -> list[DataFrame]:
+    """``(key, sims)`` with arrays of ``struct<sim, category>``, a frame for every block of CATEGORY_BLOCK categories.
 
-    Up to 64 centroids travel to the documents as one scalar array. Beyond that the centroids are cut into chunks
-    of 64 and documents meet every chunk through an equi-join spread over salts, so no task needs all of them.
+    Similarities are rounded to nine places, so that equal categories tie whatever the order of summation was. The
+    categories are stored once; a block of them travels to the documents as one scalar array of bounded size.
     """
     units = centroids.select("category", unit_vector(F.col("vector")).alias("unit")).where(F.col("unit").isNotNull())
+    units = number_rows(units, [F.col("category")]).withColumn("block", F.expr(f"(rn - 1) div {CATEGORY_BLOCK}"))
+    units = materialise(units.select("block", "category", "unit"), "centroids")
     # the exploded array gives one row per usable vector and scales it once, not once per category
     own = docs.select(key, F.explode(F.array_compact(F.array(unit_vector(F.col("vector"))))).alias("_u"))
-    n = units.count()
 
     def compare(packed):
         return F.transform(
@@ -89,16 +87,12 @@ def similarities(docs: DataFrame, key: str, centroids: DataFrame) -> tuple[DataF
             lambda c: F.struct(F.round(dot(F.col("_u"), c["unit"]), 9).alias("sim"), c["category"].alias("category")),
         )
 
-    if n <= CENTROIDS_PER_CHUNK:
-        packed = units.agg(F.collect_list(F.struct("category", "unit")).alias("c")).scalar()
-        return own.withColumn("_pack", packed).select(key, compare(F.col("_pack")).alias("sims")), True
-    chunks, salts = -(-n // CENTROIDS_PER_CHUNK), 64
-    chunk = F.pmod(F.xxhash64("category"), F.lit(chunks))
-    packs = units.groupBy(chunk.alias("_c")).agg(F.collect_list(F.struct("category", "unit")).alias("_pack"))
-    packs = packs.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
-    spread = own.withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)).cast("array<bigint>")))
-    spread = spread.withColumn("_s", F.pmod(F.xxhash64(key), F.lit(salts)))
-    return spread.join(packs, ["_c", "_s"]).select(key, compare(F.col("_pack")).alias("sims")), False
+    last = units.agg(F.max("block")).first()[0] or 0
+    out = []
+    for block in range(last + 1):
+        packed = units.where(F.col("block") == block).agg(F.collect_list(F.struct("category", "unit")).alias("c")).scalar()
+        out.append(own.withColumn("_pack", packed).select(key, compare(F.col("_pack")).alias("sims")))
+    return out
 
 
 def _ordered() -> Column:
@@ -107,12 +101,12 @@ def _ordered() -> Column:
 
 def rank_categories(docs: DataFrame, key: str, centroids: DataFrame) -> DataFrame:
     """``(key, category, sim, rank)``: every category of every document, best first, ties by name."""
-    sims, whole = similarities(docs, key, centroids)
-    if whole:
-        rows = sims.select(key, F.posexplode(F.array_sort(_ordered())).alias("_p", "s"))
+    blocks = similarities(docs, key, centroids)
+    if len(blocks) == 1:
+        rows = blocks[0].select(key, F.posexplode(F.array_sort(_ordered())).alias("_p", "s"))
         rank = F.col("_p") + 1
     else:
-        rows = sims.select(key, F.explode(_ordered()).alias("s"))
+        rows = reduce(DataFrame.unionByName, [b.select(key, F.explode(_ordered()).alias("s")) for b in blocks])
         rank = F.row_number().over(Window.partitionBy(key).orderBy("s"))
     return rows.select(
         key, F.col("s.category").alias("category"), (-F.col("s.o")).alias("sim"), rank.cast("bigint").alias("rank")
@@ -120,17 +114,16 @@ def rank_categories(docs: DataFrame, key: str, centroids: DataFrame) -> DataFram
 
 
 def best_category(docs: DataFrame, key: str, centroids: DataFrame) -> DataFrame:
-    """``(key, category, sim)`` of the nearest category."""
-    sims, whole = similarities(docs, key, centroids)
-    best = sims.select(key, F.array_min(_ordered()).alias("s"))
-    if not whole:
-        best = best.groupBy(key).agg(F.min("s").alias("s"))
-    return best.select(key, F.col("s.category").alias("category"), (-F.col("s.o")).alias("sim"))
-
-
-def categorise(docs: DataFrame, key: str, text: str, lexicon: DataFrame, token_vectors: DataFrame, size: int) -> DataFrame:
-    """All documents with ``category``; it is null where no token has a vector."""
-    centroids = category_centroids(lexicon, token_vectors, size)
-    vectors = text_vectors(token_rows(docs, key, text), key, token_vectors, size)
-    best = best_category(vectors, key, centroids).select(key, "category")
-    return docs.drop("category").join(best, key, "left")
+    """``(key, category, sim)`` of the nearest category: the best of each block, then of all blocks."""
+    best = [b.select(key, F.array_min(_ordered()).alias("s")) for b in similarities(docs, key, centroids)]
+    found = best[0] if len(best) == 1 else reduce(DataFrame.unionByName, best).groupBy(key).agg(F.min("s").alias("s"))
+    return found.where(F.col("s").isNotNull()).select(key, F.col("s.category").alias("category"), (-F.col("s.o")).alias("sim"))
+
+
+def categorise(docs: DataFrame, text: str, lexicon: DataFrame, token_vectors: DataFrame) -> DataFrame:
+    """All documents with ``category``; it is null where no token has a vector. Every distinct text is compared once."""
+    words = materialise(token_vectors, "token-vectors")
+    texts = docs.select(text).where(F.col(text).isNotNull()).distinct()
+    vectors = text_vectors(token_rows(texts, text, text), text, words)
+    best = best_category(vectors, text, category_centroids(lexicon, words)).select(text, "category")
+    return docs.drop("category").join(best, text, "left")

@@ -209,18 +209,10 @@ def top_n_per_group(
     return kept.withColumn(name, F.row_number().over(whole)).where(F.col(name) <= n)
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, hot_share: float = 0.001) -> DataFrame:
-    """Join facts to a lookup table with unique keys when single keys may hold a large part of the facts.
+def lookup_join(facts: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
+    """Join facts to a lookup table with unique keys, keeping facts without a match.
 
-    Keys that hold at least ``hot_share`` of the rows are found by one counted pass; there can be at most
-    1 / hot_share of them, so their part of the lookup is broadcast. All other rows take an ordinary shuffle join.
+    The planner broadcasts a lookup below its size threshold. A larger one meets the facts by a shuffle on the key, which
+    adaptive execution splits where single keys hold a large part of the facts.
     """
-    total = facts.agg(F.count(F.lit(1)).alias("n"))
-    counts = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") >= total.scalar() * hot_share).select(key)
-    hot_rows = F.broadcast(hot.join(lookup, key, "left").withColumn("_hot", F.lit(True)))
-    first = facts.join(hot_rows, key, "left")
-    extra = [c for c in lookup.columns if c != key]
-    warm = first.where(F.col("_hot")).drop("_hot")
-    rest = first.where(F.col("_hot").isNull()).drop("_hot", *extra).join(lookup, key, "left")
-    return warm.unionByName(rest)
+    return facts.join(lookup, key, "left")

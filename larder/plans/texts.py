@@ -18,7 +18,7 @@ from larder.operators.joins import keys_not_found
 from larder.plans import views
 from larder.plans.registry import FACTS, WORD, query
 from larder.plans.views import Tables
-from larder.session import fresh_path
+from larder.session import fresh_path, materialise
 from larder.sources import files, tables
 
 
@@ -465,14 +465,14 @@ def token_lookup(t: Tables) -> DataFrame:
     f"WITH {VECTORS} SELECT category, i - 1 AS pos, round(m, 6) AS m FROM cat_dims",
 )
 def category_centroids(t: Tables) -> DataFrame:
-    centroids = cat.category_centroids(views.lexicon(t), views.token_vectors(t, views.name_tokens(t)), views.VECTOR_SIZE)
+    centroids = cat.category_centroids(views.lexicon(t), views.token_vectors(t, views.name_tokens(t)))
     rows = centroids.select("category", F.posexplode("vector").alias("pos", "m"))
     return rows.select("category", F.col("pos").cast("bigint").alias("pos"), F.round("m", 6).alias("m"))
 
 
 def _part_vectors(t: Tables, words: DataFrame) -> DataFrame:
     rows = cat.token_rows(t("part").select("p_partkey", "p_name"), "p_partkey", "p_name")
-    return cat.text_vectors(rows, "p_partkey", words, views.VECTOR_SIZE)
+    return cat.text_vectors(rows, "p_partkey", words)
 
 
 @query(
@@ -490,8 +490,8 @@ def description_vectors(t: Tables) -> DataFrame:
     FROM part JOIN sims USING (p_name)""",
 )
 def rank_categories(t: Tables) -> DataFrame:
-    words = views.token_vectors(t, views.name_tokens(t))
-    centroids = cat.category_centroids(views.lexicon(t), words, views.VECTOR_SIZE)
+    words = materialise(views.token_vectors(t, views.name_tokens(t)), "token-vectors")
+    centroids = cat.category_centroids(views.lexicon(t), words)
     ranked = cat.rank_categories(_part_vectors(t, words), "p_partkey", centroids)
     return ranked.select("p_partkey", "category", F.round("sim", 6).alias("sim"), "rank")
 
@@ -503,9 +503,9 @@ def rank_categories(t: Tables) -> DataFrame:
 )
 def assign_category(t: Tables) -> DataFrame:
     """Category of every food by its description; foods without a description have none."""
-    docs = views.order_facts(t).select("fid", "description")
+    docs = materialise(views.order_facts(t).select("fid", "description"), "descriptions")
     words = views.token_vectors(t, views.name_tokens(t))
-    return cat.categorise(docs, "fid", "description", views.lexicon(t), words, views.VECTOR_SIZE).select("fid", "category")
+    return cat.categorise(docs, "description", views.lexicon(t), words).select("fid", "category")
 
 
 @query(
@@ -518,7 +518,7 @@ def assign_category(t: Tables) -> DataFrame:
 def centroid_similarity(t: Tables) -> DataFrame:
     """Each vector with the nearest label centroid."""
     vectors = t("embeddings")
-    centroids = cat.group_centroids(vectors, "label", "embedding", views.VECTOR_SIZE)
+    centroids = cat.group_centroids(vectors, "label", "embedding")
     best = cat.best_category(vectors.select("vec_id", F.col("embedding").alias("vector")), "vec_id", centroids)
     return best.select("vec_id", "category", F.round("sim", 6).alias("sim"))
 

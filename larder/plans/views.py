@@ -209,5 +209,4 @@ def name_tokens(t: Tables) -> DataFrame:
     return t("part").select(F.explode(tokens(F.col("p_name"))).alias("token"))
 
 
-VECTOR_SIZE = 64
 FEATURES = schemas.FEATURES

@@ -2,6 +2,7 @@
 
 import json
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,7 +161,7 @@ def test_vectors(spark):
     rows = df.select("k", unit_vector(F.col("v")).alias("u"), cosine(F.col("v"), F.array(F.lit(1.0), F.lit(0.0))).alias("c")).collect()
     assert rows[0]["u"] == pytest.approx([0.6, 0.8]) and rows[1]["u"] is None
     assert [r["c"] for r in rows] == [pytest.approx(0.6), None, 1.0]
-    means = {r["k"]: r["v"] for r in mean_vectors(df, ["k"], "v", 2).collect()}
+    means = {r["k"]: r["v"] for r in mean_vectors(df, ["k"], "v").collect()}
     assert means == {"a": [1.5, 2.0], "b": [1.0, 0.0]}
 
 
@@ -176,3 +177,25 @@ def test_labels_do_not_depend_on_partitions(spark):
     left = {tuple(r) for r in label_rows(ids.repartition(7), "fid").collect()}
     right = {tuple(r) for r in label_rows(ids.coalesce(1), "fid").collect()}
     assert left == right and {label for _, label in left} == {"training", "validation", "testing"}
+
+
+def test_mean_of_long_vectors(spark):
+    rnd = random.Random(9)
+    rows = [(i % 3, [rnd.gauss(0, 1) for _ in range(768)], float(rnd.randrange(1, 5))) for i in range(30)] + [(0, None, 1.0)]
+    df = spark.createDataFrame(rows, "k int, v array<float>, w double")
+    for k, mean in mean_vectors(df, ["k"], "v", "w").collect():
+        own = [(v, w) for g, v, w in rows if g == k and v]
+        total = sum(w for _, w in own)
+        assert mean == pytest.approx([sum(v[i] * w for v, w in own) / total for i in range(768)], abs=1e-5)
+
+
+def test_text_of_a_bag_comes_back(spark):
+    bags = [
+        {"fat": {"gram": "2.0"}, "sugar": {"g": "1", "cup": "1/2"}, "tips": {}},
+        {"a: b\\": {"": "x\ny", "u:\\c": "\\n"}, "empty": {"g": ""}},
+        {},
+    ]
+    df = spark.createDataFrame([(b,) for b in bags], "bag map<string,map<string,string>>")
+    from larder.functions.text import flatten_fields, parse_fields
+
+    assert [r[0] for r in df.select(parse_fields(flatten_fields("bag"))).collect()] == bags

@@ -237,7 +237,7 @@ def test_categories(spark):
     words = spark.createDataFrame(vectors, "token string, vector array<double>")
     lexicon = spark.createDataFrame([("fruit", "Red sour"), ("leafy", "leaf")], "category string, keyword string")
     docs = spark.createDataFrame([(1, "a RED thing"), (2, "leaf"), (3, "unknown words"), (4, None), (5, "nil")], "id bigint, text string")
-    got = {r["id"]: r["category"] for r in categorise.categorise(docs, "id", "text", lexicon, words, 2).collect()}
+    got = {r["id"]: r["category"] for r in categorise.categorise(docs, "text", lexicon, words).collect()}
     assert got == {1: "fruit", 2: "leafy", 3: None, 4: None, 5: None}
 
 
@@ -248,7 +248,7 @@ def test_many_categories_in_chunks(spark, monkeypatch):
     centroids = spark.createDataFrame(cents, "category string, vector array<double>")
     whole = {r["id"]: (r["category"], r["sim"]) for r in categorise.best_category(docs, "id", centroids).collect()}
     ranks_whole = {(r["id"], r["category"]): r["rank"] for r in categorise.rank_categories(docs, "id", centroids).collect()}
-    monkeypatch.setattr(categorise, "CENTROIDS_PER_CHUNK", 3)
+    monkeypatch.setattr(categorise, "CATEGORY_BLOCK", 3)
     assert {r["id"]: (r["category"], r["sim"]) for r in categorise.best_category(docs, "id", centroids).collect()} == whole
     assert {(r["id"], r["category"]): r["rank"] for r in categorise.rank_categories(docs, "id", centroids).collect()} == ranks_whole
 
