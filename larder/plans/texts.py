@@ -538,12 +538,29 @@ def label_similarity(t: Tables) -> DataFrame:
 # --- embeddings ---------------------------------------------------------------------------------------------------
 
 
-@query("embed_texts")
+def embedding_sql(size: int, seed: int) -> str:
+    return f"""WITH words AS (SELECT doc_id AS id, unnest(regexp_extract_all(lower(text), '{WORD}')) AS token FROM documents),
+    hashed AS (SELECT id, ('0x' || substr(md5(token || '{seed}'), 1, 9))::BIGINT AS h FROM words),
+    sums AS (SELECT id, (h >> 4) % {size} AS pos, sum(CASE WHEN h & 1 = 1 THEN 1 ELSE -1 END)::DOUBLE AS s FROM hashed GROUP BY ALL),
+    units AS (SELECT id, pos, (s / sqrt(sum(s * s) OVER (PARTITION BY id)))::FLOAT::DOUBLE AS v FROM sums)
+    SELECT id, pos, round(v, 4) AS v FROM units WHERE v <> 0"""
+
+
+def _entries(embedded: DataFrame) -> DataFrame:
+    rows = embedded.select("id", F.posexplode("embedding").alias("pos", "v")).where(F.col("v") != 0)
+    return rows.select("id", F.col("pos").cast("bigint").alias("pos"), F.round(F.col("v").cast("double"), 4).alias("v"))
+
+
+@query("embed_texts", embedding_sql(64, 1))
 def embed_texts(t: Tables) -> DataFrame:
-    """Whole texts encoded by the seeded hashing encoder."""
-    return emb.embed(t("documents"), "doc_id", "text").select(
-        "id", F.size("embedding").alias("size"), F.transform("embedding", lambda x: F.round(x.cast("double"), 4)).cast("string").alias("embedding")
-    )
+    """Whole texts encoded by the seeded hashing encoder: the entries of every vector."""
+    return _entries(emb.embed(t("documents"), "doc_id", "text"))
+
+
+@query("embed_other_encoder", embedding_sql(128, 3))
+def embed_other_encoder(t: Tables) -> DataFrame:
+    """Another encoder by its alias."""
+    return _entries(emb.embed(t("documents"), "doc_id", "text", "hashing-128"))
 
 
 @query("embed_batches", "SELECT batch, count(*) AS n FROM (SELECT ntile(10) OVER (ORDER BY doc_id) AS batch FROM documents) GROUP BY batch")
