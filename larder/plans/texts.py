@@ -14,7 +14,7 @@ from larder.functions.vectors import cosine
 from larder.operators import categorise as cat
 from larder.operators import embed as emb
 from larder.operators.filters import nonblank
-from larder.operators.joins import keys_not_found
+from larder.operators.joins import concat_sets, keys_not_found
 from larder.plans import views
 from larder.plans.registry import FACTS, WORD, query
 from larder.plans.views import Tables
@@ -122,6 +122,51 @@ def list_files(t: Tables) -> DataFrame:
     return files.list_files(t.spark, t.root, "*.parquet").select("folder", "file_name", "length")
 
 
+@query(
+    "multi_file_read",
+    f"""WITH {FACTS}, parts AS (SELECT CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'urgent' ELSE 'other' END AS folder, o_orderpriority AS p FROM facts)
+    SELECT folder, count(*) FILTER (p <> '5-LOW') AS docs, count(*) FILTER (p = '5-LOW') AS bad FROM parts GROUP BY folder""",
+)
+def multi_file_read(t: Tables) -> DataFrame:
+    """Food lines written as files in two folders, found by listing, read together and counted by folder."""
+    root = fresh_path(t.spark, "drops")
+    lines = views.food_lines(t)
+    urgent = F.col("value").rlike("1-URGENT|2-HIGH")
+    lines.where(urgent).select("value").write.text(f"{root}/urgent")
+    lines.where(~urgent).select("value").write.text(f"{root}/other")
+    found = files.list_files(t.spark, root, "part-*").groupBy("folder").agg(F.collect_list("path").alias("paths"))
+    out = []
+    for row in found.collect():  # two folders
+        docs, bad = files.read_documents(t.spark, row["paths"], "nutrients")
+        folder, one, none = F.lit(row["folder"]).alias("folder"), F.lit(1), F.lit(0)
+        out += [docs.select(folder, one.alias("d"), none.alias("b")), bad.select(folder, none.alias("d"), one.alias("b"))]
+    return concat_sets(*out).groupBy("folder").agg(F.sum("d").alias("docs"), F.sum("b").alias("bad"))
+
+
+@query(
+    "collection_lifecycle",
+    f"""WITH {FACTS} SELECT 'exported' AS step, count(*) AS n, 'fdc_id,fid,labelNutrients,nutrients' AS columns FROM facts
+    UNION ALL SELECT 'emptied', 0, 'fid,fdc_id' UNION ALL SELECT 'appended', count(*) FILTER (fid % 2 = 0), 'fid,fdc_id' FROM facts""",
+)
+def collection_lifecycle(t: Tables) -> DataFrame:
+    """A collection exported without its raw bag, emptied, and appended to: rows and columns as read back each time."""
+    path, other = fresh_path(t.spark, "export"), fresh_path(t.spark, "emptied")
+    docs = materialise(views.food_docs(t).withColumn("food_nutrients", F.lit("raw")), "foods")
+    tables.export(docs.select("fid", "fdc_id", "food_nutrients", "nutrients", "labelNutrients"), path)
+
+    def state(step: str, where: str, ordered: bool) -> DataFrame:
+        df = tables.scan(t.spark, where)
+        names = ",".join(sorted(df.columns) if ordered else df.columns)
+        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(step).alias("step"), "n", F.lit(names).alias("columns"))
+
+    exported = materialise(state("exported", path, True), "state")
+    tables.append(docs.select("fid", "fdc_id"), other)
+    tables.empty_collection(t.spark, other, "fid bigint, fdc_id bigint")
+    emptied = materialise(state("emptied", other, False), "state")
+    tables.append(docs.where("fid % 2 = 0").select("fid", "fdc_id"), other)
+    return exported.unionByName(emptied).unionByName(state("appended", other, False))
+
+
 @query("path_keys", """SELECT page_id, regexp_replace(url, '^[A-Za-z0-9]+://[^/]*/', '') AS "key" FROM pages""")
 def path_keys(t: Tables) -> DataFrame:
     return t("pages").select("page_id", txt.key_of_path("url").alias("key"))
