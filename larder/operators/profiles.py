@@ -30,12 +30,23 @@ def _long(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column", "value")
 
 
-def _moments() -> list[Column]:
-    v = F.col("value")
-    return [
-        F.count(F.lit(1)).alias("rows"), F.avg(v.isNull().cast("double")).alias("nulls"), F.min(v).alias("low"),
-        F.max(v).alias("high"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-    ]
+def moments(df: DataFrame, columns: list[str], bounds: Column | None = None) -> DataFrame:
+    """``(column, rows, nulls, low, high, mean, std)`` from one aggregate over the rows as they are, a row per column.
+
+    ``bounds`` is a map from column to ``struct<low, high>``; with it ``outside`` is the share of values beyond.
+    """
+    stats = []
+    for c in columns:
+        v = F.col(c).cast("double")
+        parts = [
+            F.lit(c).alias("column"), F.count(F.lit(1)).alias("rows"), F.avg(v.isNull().cast("double")).alias("nulls"),
+            F.min(v).alias("low"), F.max(v).alias("high"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+        ]
+        if bounds is not None:
+            own = bounds[c]
+            parts.append(F.avg(((v < own["low"]) | (v > own["high"])).cast("double")).alias("outside"))
+        stats.append(F.struct(*parts))
+    return df.agg(F.array(*stats).alias("a")).select(F.explode("a").alias("s")).select("s.*").where("rows > 0")
 
 
 def stability_tests(
@@ -43,15 +54,13 @@ def stability_tests(
 ) -> DataFrame:
     """``(test, column, reference, current, status)``.
 
-    One aggregate per side; the bounds of the reference (one row per column) are broadcast to the current side.
+    One aggregate per side over rows as they are; the reference's bounds (one entry per column) travel as a scalar.
     Tests: row count within the tolerance, share of nulls, share outside the reference range, mean within two
     reference deviations, and for categorical columns the share of values the reference does not know.
     """
-    ref = _long(reference, columns).groupBy("column").agg(*_moments())
-    # one row per tested column
-    bounds = F.broadcast(ref.select("column", F.col("low").alias("_low"), F.col("high").alias("_high")))
-    beyond = F.avg(((F.col("value") < F.col("_low")) | (F.col("value") > F.col("_high"))).cast("double"))
-    cur = _long(current, columns).join(bounds, "column").groupBy("column").agg(*_moments(), beyond.alias("outside"))
+    ref = materialise(moments(reference, columns), "moments")
+    bounds = ref.agg(F.map_from_entries(F.collect_list(F.struct("column", F.struct("low", "high"))))).scalar()
+    cur = materialise(moments(current, columns, bounds), "moments")
     both = ref.alias("r").join(cur.alias("k"), "column")
 
     def test(name: str, was: Column, now: Column, ok: Column) -> Column:
@@ -100,10 +109,11 @@ def _unknown_values(reference: DataFrame, current: DataFrame, column: str, toler
 def quality_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """Per column: rows, nulls, distinct values, min, quartiles, max, mean, deviation, share of zeros, top value.
 
-    Moments come from one aggregate per column. All about values comes from one stored count per (column, value).
+    Moments come from one aggregate over the rows as they are. All about values comes from one stored count per
+    (column, value).
     """
     long = _long(df, columns)
-    moments = long.groupBy("column").agg(*_moments()).withColumnRenamed("rows", "n")
+    stats = moments(df, columns).withColumnRenamed("rows", "n")
     counts = materialise(
         long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")), "value-counts"
     )
@@ -119,7 +129,7 @@ def quality_profile(df: DataFrame, columns: list[str]) -> DataFrame:
         .groupBy("column")
         .agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(a) for q, a in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
     )
-    return moments.join(values, "column").join(quartiles, "column")
+    return stats.join(values, "column").join(quartiles, "column")
 
 
 def quick_profile(df: DataFrame, columns: list[str], error: float = 0.01) -> DataFrame:

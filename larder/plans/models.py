@@ -29,7 +29,7 @@ TRIAL_GRID = {
 
 def stored_features(t: Tables) -> DataFrame:
     """Labelled feature rows, written once: every fit and every scoring pass reads the flat columns."""
-    return materialise(views.labeled_features(t), "features")
+    return materialise(views.labeled_features(t), "features", "label")
 
 
 # --- clusters -----------------------------------------------------------------------------------------------------

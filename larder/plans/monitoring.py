@@ -27,7 +27,7 @@ def rounded(df: DataFrame, keep: list[str], places: int = 6) -> DataFrame:
 
 def pair(t: Tables, reference: str = "validation", current: str = "testing") -> tuple[DataFrame, DataFrame]:
     """The compared pair of labelled sets, report columns only; the feature rows are written once for all passes."""
-    rows = materialise(views.labeled_features(t), "features")
+    rows = materialise(views.labeled_features(t), "features", "label")
     columns = ROLES.report_columns(rows.columns)
     return term(rows, "label", reference).select(*columns), term(rows, "label", current).select(*columns)
 

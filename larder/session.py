@@ -63,8 +63,8 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back (columnar, prunable, fault-safe)."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
