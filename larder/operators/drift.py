@@ -43,7 +43,7 @@ def ks_p_value(d: Column, n1: Column, n2: Column, terms: int = SERIES_TERMS) ->
 
 
 def drift_measures(counts: DataFrame, stored: bool = False) -> DataFrame:
-    """Per column KS distance with p-value, Wasserstein-1 distance and the shift of the mean.
+    """Per column KS distance with p-value, Wasserstein-1 distance and the shifts of the mean and the quartiles, all in one pass.
 
     ``stored`` says that the counts are a written table.
     """
@@ -51,10 +51,16 @@ def drift_measures(counts: DataFrame, stored: bool = False) -> DataFrame:
     gap = F.abs(
         (F.col("before_r") + F.col("r")) / F.col("all_r") - (F.col("before_c") + F.col("c")) / F.col("all_c")
     )
+
+    def quantile(side: str, q: float) -> Column:
+        """Smallest value that at least a share ``q`` of the side's rows doesn't exceed."""
+        return F.min(F.when(F.col(f"before_{side}") + F.col(side) >= F.col(f"all_{side}") * q, F.col("value")))
+
     measured = ranked.groupBy("column").agg(
         F.max(gap).alias("ks"),
         F.sum(gap * (F.coalesce("next_value", "value") - F.col("value"))).alias("wasserstein"),
         (F.sum(F.col("value") * F.col("c")) / F.sum("c") - F.sum(F.col("value") * F.col("r")) / F.sum("r")).alias("mean_shift"),
+        *[(quantile("c", q) - quantile("r", q)).alias(f"q{int(q * 100)}_shift") for q in (0.25, 0.5, 0.75)],
         F.sum("r").alias("n_ref"),
         F.sum("c").alias("n_cur"),
     )

@@ -46,7 +46,10 @@ cum AS (
   FROM counts WINDOW w AS (PARTITION BY "column" ORDER BY "value" ROWS UNBOUNDED PRECEDING), g AS (PARTITION BY "column")),
 measured AS (
   SELECT "column", max(abs(cr / nr - cc / nc)) AS ks, sum(abs(cr / nr - cc / nc) * (coalesce(nxt, "value") - "value")) AS wasserstein,
-         sum("value" * c) / sum(c) - sum("value" * r) / sum(r) AS mean_shift, max(nr) AS n1, max(nc) AS n2 FROM cum GROUP BY "column"),
+         sum("value" * c) / sum(c) - sum("value" * r) / sum(r) AS mean_shift,
+         min("value") FILTER (cc >= nc * 0.25e0) - min("value") FILTER (cr >= nr * 0.25e0) AS q25_shift,
+         min("value") FILTER (cc >= nc * 0.5e0) - min("value") FILTER (cr >= nr * 0.5e0) AS q50_shift,
+         min("value") FILTER (cc >= nc * 0.75e0) - min("value") FILTER (cr >= nr * 0.75e0) AS q75_shift, max(nr) AS n1, max(nc) AS n2 FROM cum GROUP BY "column"),
 lam AS (SELECT *, sqrt(n1::DOUBLE * n2 / (n1 + n2)) AS root FROM measured),
 tested AS (
   SELECT *, CASE WHEN x < 0.2 THEN 1e0 ELSE least(greatest(2e0 * list_sum(list_transform(range(1, 101),
@@ -197,7 +200,7 @@ def ks_drift(t: Tables) -> DataFrame:
 
 @query(
     "drift_report",
-    f"""WITH {LONG}, {KS}, {PSI} SELECT "column", round(ks, 6) AS ks, round(wasserstein, 6) AS wasserstein, round(mean_shift, 6) AS mean_shift,
+    f"""WITH {LONG}, {KS}, {PSI} SELECT "column", round(ks, 6) AS ks, round(wasserstein, 6) AS wasserstein, round(mean_shift, 6) AS mean_shift, round(q25_shift, 6) AS q25_shift, round(q50_shift, 6) AS q50_shift, round(q75_shift, 6) AS q75_shift,
     n1::BIGINT AS n_ref, n2::BIGINT AS n_cur, round(p_value, 6) AS p_value, round(psi, 6) AS psi FROM tested JOIN psi USING ("column")""",
 )
 def drift_report(t: Tables) -> DataFrame:
