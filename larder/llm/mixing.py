@@ -26,9 +26,9 @@ MAX_SOURCES = 500
 
 def balanced_shares(counts: DataFrame, power: float = 0.5, shares: int = SHARES) -> DataFrame:
     """(source, share): weights by size to a power below one, which lifts small sources; each has one share at least."""
-    total = counts.agg(F.sum(F.pow("n", F.lit(power))).alias("all_"))
-    share = F.greatest(F.lit(1), F.round(F.pow("n", F.lit(power)) / F.col("all_") * shares)).cast("bigint")
-    return counts.join(F.broadcast(total)).select("source", share.alias("share"))
+    total = counts.agg(F.sum(F.pow("n", F.lit(power)))).scalar()
+    share = F.greatest(F.lit(1), F.round(F.pow("n", F.lit(power)) / total * shares)).cast("bigint")
+    return counts.select("source", share.alias("share"))
 
 
 PHASES = """
