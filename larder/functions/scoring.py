@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder import dims
-from larder.functions.bind import with_once
+from larder.functions.bind import let, with_once
 from larder.functions.nutrients import prefer
 from larder.functions.text import tokens
 
@@ -17,10 +17,29 @@ Scorer = Callable[[Column, Column], Column]
 Term = tuple[str, str, float, float]
 
 
-def superfood_bonus(description: Column, lexicon: Iterable[str] | None = None) -> Column:
-    """0.2 for every token that is a superfood; repeated tokens count again, no description gives 0."""
-    words = F.array(*[F.lit(w.lower()) for w in (lexicon or dims.one_word_superfoods())])
-    hits = F.size(F.filter(tokens(description), lambda t: F.array_contains(words, t)))
+def _phrase_hits(size: int, listed: Column) -> Callable[[Column], Column]:
+    """Number of runs of ``size`` tokens that are listed phrases."""
+
+    def count(row: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(row) - size + 1, F.lit(1)))
+        runs = F.transform(starts, lambda i: F.concat_ws(" ", F.slice(row, i, F.lit(size))))
+        return F.size(F.filter(runs, lambda r: F.array_contains(listed, r)))
+
+    return count
+
+
+def superfood_bonus(description: Column, lexicon: Iterable[str] | None = None, phrases: bool = False) -> Column:
+    """0.2 for every token that is a superfood; repeated tokens count again, no description gives 0.
+
+    With ``phrases`` entries of several words count too, wherever their tokens stand in a row.
+    """
+    entries = [w.lower() for w in (lexicon or (dims.SUPERFOODS if phrases else dims.one_word_superfoods()))]
+    words = F.array(*[F.lit(w) for w in entries if " " not in w]).cast("array<string>")
+    found = tokens(description)
+    hits = F.size(F.filter(found, lambda t: F.array_contains(words, t)))
+    for size in sorted({w.count(" ") + 1 for w in entries if " " in w}) if phrases else ():
+        listed = F.array(*[F.lit(w) for w in entries if w.count(" ") + 1 == size])
+        hits = hits + let(found, _phrase_hits(size, listed))
     return F.coalesce(F.when(description.isNotNull(), hits), F.lit(0)) * F.lit(dims.SUPERFOOD_BONUS)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder import schemas
-from larder.functions.bind import with_once
+from larder.functions.bind import let, with_once
 from larder.functions.nutrients import fix_nutrition_labels, fix_recipes_labels, is_filled
 from larder.functions.text import flatten_map, processed_sibling, repair_json_line
 from larder.operators.filters import nonblank
@@ -38,13 +38,24 @@ def prefer_processed(files: DataFrame, name: str = "file_name") -> DataFrame:
     return marked.select("input", F.when(F.col("_has"), F.col("_other")).otherwise(F.col("input")).alias("chosen"))
 
 
-def parse_lines(lines: DataFrame, schema: str, column: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Repaired and parsed documents, and a quarantine ``(line, reason)`` of those that are not JSON."""
+def parse_lines(
+    lines: DataFrame, schema: str, column: str = "value", only_damaged: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Repaired and parsed documents, and a quarantine ``(line, reason)`` of those that are not JSON.
+
+    The repair also changes ``=`` inside values. With ``only_damaged`` a line that parses as it is stays as it is.
+    """
     probe = T.StructType.fromDDL(schema).add("_bad", T.StringType())
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
     # parsed once per line, though the filter and every field read the result
     kept = nonblank(lines, column).select(F.col(column).alias("_line"))
-    parsed = with_once(kept, "d", F.from_json(repair_json_line("_line"), probe, options))
+    repaired = F.from_json(repair_json_line("_line"), probe, options)
+    if only_damaged:
+        plain = F.from_json("_line", probe, options)
+        fits = let(plain, lambda d: F.when(d.isNotNull() & d["_bad"].isNull(), d))
+        parsed = with_once(kept, "d", F.coalesce(fits, repaired))
+    else:
+        parsed = with_once(kept, "d", repaired)
     good = F.col("d").isNotNull() & F.col("d._bad").isNull()
     docs = parsed.where(good).select("d.*").drop("_bad")
     bad = parsed.where(~good).select(F.col("_line").alias("line"), F.lit("not valid JSON after repair").alias("reason"))

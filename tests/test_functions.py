@@ -199,3 +199,11 @@ def test_text_of_a_bag_comes_back(spark):
     from larder.functions.text import flatten_fields, parse_fields
 
     assert [r[0] for r in df.select(parse_fields(flatten_fields("bag"))).collect()] == bags
+
+
+def test_superfood_phrases(spark):
+    df = spark.createDataFrame([("Green tea, kale; brown RICE green tea",), ("tea",), ("",), (None,)], "d string")
+    lexicon = ["green tea", "kale", "brown rice"]
+    got = [round(r[0], 6) for r in df.select(scoring.superfood_bonus(F.col("d"), lexicon, phrases=True)).collect()]
+    assert got == [0.8, 0.0, 0.0, 0.0]
+    assert round(df.select(scoring.superfood_bonus(F.col("d"), lexicon)).first()[0], 6) == 0.2

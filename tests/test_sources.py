@@ -47,6 +47,21 @@ def test_food_reader(spark, lines):
     assert [r["line"] for r in bad.collect()] == ['{"_id": "c", "fid": 3,']
 
 
+def test_repair_only_damaged_lines(spark):
+    df = spark.createDataFrame([('{"a": "u=v"}',), ('{"a"= "u=v"}',), ("nothing",)], "value string")
+    for only, want in ((False, ["u:v", "u:v"]), (True, ["u:v", "u=v"])):
+        docs, bad = files.parse_lines(df, "a string", only_damaged=only)
+        assert sorted(r["a"] for r in docs.collect()) == want and [r["line"] for r in bad.collect()] == ["nothing"]
+
+
+def test_append_new_with_null_and_repeated_keys(spark, tmp_path):
+    df = spark.createDataFrame([(None, 1), (None, 2), (1, 5), (1, 3), (2, 9)], "k bigint, v bigint")
+    path = str(tmp_path / "keyed")
+    assert tables.append_new(df, path, "k", "v") == 2 and tables.append_new(df, path, "k", "v") == 0
+    assert sorted(map(tuple, tables.scan(spark, path).collect())) == [(1, 3), (2, 9)]
+    assert [json.loads(r["line"]) for r in tables.keyless(df, "k").orderBy("line").collect()] == [{"v": 1}, {"v": 2}]
+
+
 def test_recipe_reader(spark, tmp_path):
     recipe = {
         "_id": "r", "name": "Soup", "description": "Leek soup", "ingredients": {"2 leeks": {"cup": "2.0"}}, "tips": {},
