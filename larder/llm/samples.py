@@ -21,13 +21,26 @@ def label_sample(labels: DataFrame, label: str, rows: int, seed: str, value: int
     known = known.where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
     if value is not None:
         known = known.where(F.col("y") == value)
-    return known.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "y").limit(rows)
+    return first_by_hash(known, rows, seed, ["doc_id", "y"])
+
+
+def first_by_hash(df: DataFrame, rows: int, seed: str, order: list[str]) -> DataFrame:
+    """At most ``rows`` rows, the first ones by a hash of ``doc_id``.
+
+    The table's count gives a hash value below which about twice as many rows lie, so the rows that are ordered and sent
+    to one task are bounded however large the table is.
+    """
+    total = df.count()
+    key = F.xxhash64(F.lit(seed), "doc_id")
+    if total > 2 * rows:
+        df = df.where(key <= F.lit(-(1 << 63) + (2 * rows << 64) // total))
+    return df.orderBy(key, *order).limit(rows)
 
 
 def document_sample(docs: DataFrame, rows: int, seed: str) -> DataFrame:
     """(doc_id): at most ``rows`` ids of all documents, the first ones in an order by hash."""
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).where("doc_id IS NOT NULL")
-    return ids.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(rows)
+    return first_by_hash(ids, rows, seed, ["doc_id"])
 
 
 def with_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
