@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators import aggregates as agg
-from larder.operators import drift, performance, profiles, splits
+from larder.operators import drift, joins, performance, profiles, splits
 from larder.operators.filters import term
 from larder.plans import views
 from larder.plans.registry import FEATURE_LIST, LABELED_SQL, LOG_SQL, query
@@ -207,6 +207,25 @@ def drift_report(t: Tables) -> DataFrame:
     return rounded(drift.drift_report(*pair(t), FEATURES), [])
 
 
+@query(
+    "drift_not_labelled",
+    f"""WITH {LABELED_SQL}, long AS (
+      SELECT label, "column", "value" FROM (
+        SELECT CASE WHEN fid % 5 = 0 THEN 'testing' ELSE 'validation' END AS label, {FEATURE_LIST} FROM labeled WHERE fid % 5 = 0 OR label = 'testing')
+      UNPIVOT ("value" FOR "column" IN ({FEATURE_LIST}))), {KS}
+    SELECT "column", round(ks, 6) AS ks, round(p_value, 6) AS p_value, n1::BIGINT AS n_ref, n2::BIGINT AS n_cur FROM tested""",
+)
+def drift_not_labelled(t: Tables) -> DataFrame:
+    """The testing set against documents that have no label yet (every fifth food)."""
+    rows = materialise(views.labeled_features(t), "features", "label")
+    labelled = rows.where(F.col("fid") % 5 != 0)
+    fresh = joins.unlabeled(rows, labelled)
+    counts = materialise(drift.side_counts(term(labelled, "label", "testing"), fresh, FEATURES), "drift-counts")
+    return drift.drift_measures(counts, stored=True).select(
+        "column", F.round("ks", 6).alias("ks"), F.round("p_value", 6).alias("p_value"), "n_ref", "n_cur"
+    )
+
+
 LINE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount"]
 
 
