@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from larder.llm.words import from_planes, to_planes
 
 #: Keys that a task gathers before it deals them out.
-CHUNK_KEYS = 1_000_000
+CHUNK_KEYS = 600_000
 #: Text bytes per bucket: about 1.6 million keys, some 60 MB in a task that merges them.
 BUCKET_BYTES = 8 << 20
 #: A null id stands for the largest id.

@@ -119,6 +119,8 @@ def shared_tokens(docs: DataFrame, bits: int, size: int = SHINGLE, id_col: str =
     Of the equal sets in a chunk only the smallest ids so far go on, which always include the class's representative.
     """
 
+    chunk_keys = exchange.CHUNK_KEYS
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, keys, held, seen = [], [], 0, {}
         for batch in batches:
@@ -133,7 +135,7 @@ def shared_tokens(docs: DataFrame, bits: int, size: int = SHINGLE, id_col: str =
                 ids.append(own[owner][keep[owner]])
                 keys.append(tokens[keep[owner]])
                 held += len(keys[-1])
-                if held >= exchange.CHUNK_KEYS:
+                if held >= chunk_keys:
                     yield _send(np.concatenate(ids), np.concatenate(keys), bits)
                     ids, keys, held, seen = [], [], 0, {}
         if held:

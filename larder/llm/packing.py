@@ -33,8 +33,8 @@ ROW_TOKENS = 2048
 #: Ids packed together: the block that a task holds in memory. Short rests of a block share its last rows.
 BLOCK_TOKENS = 2 << 20
 #: Distinct pieces of text that a worker remembers with their ids.
-REMEMBERED = 400_000
-SLICE_BYTES = 4 << 20
+REMEMBERED = 300_000
+SLICE_BYTES = 2 << 20
 
 #: White space beyond ASCII: a text with it is encoded whole.
 WIDE_SPACE = re.compile("[\x85\xa0  -     　]")
@@ -221,6 +221,7 @@ def packed(
     occur; an empty table gives no rows; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
+    block_tokens = BLOCK_TOKENS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value, pattern)
@@ -235,7 +236,7 @@ def packed(
                     ids.append(np.append(flat[bounds[d] : bounds[d + 1]], np.int32(end)))
                     names.append(doc_ids[part.first + d])
                     held += len(ids[-1])
-                    if held >= BLOCK_TOKENS:
+                    if held >= block_tokens:
                         yield _block((part_id << 32) + block, ids, names, row_tokens, end)
                         block, ids, names, held = block + 1, [], [], 0
         if ids:

@@ -48,6 +48,8 @@ def _send(ids: np.ndarray, keys: np.ndarray, bits: int) -> pa.RecordBatch:
 def repeated_windows(docs: DataFrame, bits: int, window: int = WINDOW, id_col: str = "doc_id") -> DataFrame:
     """Packed (document, window hash) pairs whose window occurs in a document with a smaller id, by document group."""
 
+    chunk_keys = exchange.CHUNK_KEYS
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, keys, held = [], [], 0
         for batch in batches:
@@ -59,7 +61,7 @@ def repeated_windows(docs: DataFrame, bits: int, window: int = WINDOW, id_col: s
                 ids.append(doc_ids[part.first + np.searchsorted(words.bounds, starts, "right") - 1])
                 keys.append(found)
                 held += len(found)
-                if held >= exchange.CHUNK_KEYS:
+                if held >= chunk_keys:
                     yield _send(np.concatenate(ids), np.concatenate(keys), bits)
                     ids, keys, held = [], [], 0
         if held:
