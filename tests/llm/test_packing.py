@@ -58,6 +58,7 @@ def test_pack_is_lossless_best_fit(sizes, row):
 
 @pytest.mark.parametrize("block", [packing.BLOCK_TOKENS, 500])
 def test_round_trip(docs, plain, whole, block, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK_TOKENS", block)
     named = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     rows = packing.packed(named, row_tokens=64)
     back = {r.doc_id: r.ids for r in packing.restored(rows).collect()}

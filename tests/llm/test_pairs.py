@@ -4,7 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
-from larder.llm import decontaminate, graph, jaccard, repeats
+from larder.llm import decontaminate, exchange, graph, jaccard, repeats
 
 from .conftest import LOWER, alnum, invented, not_space
 
@@ -53,6 +53,16 @@ def test_near_duplicates(docs, plain):
         assert same(got, want)
 
 
+def test_small_chunks(docs, plain, monkeypatch):
+    """Tasks that deal out their keys many times, and many buckets, give the same."""
+    monkeypatch.setattr(exchange, "CHUNK_KEYS", 700)
+    monkeypatch.setattr(exchange, "BUCKET_BYTES", 4000)
+    whole = docs.coalesce(1)
+    assert exchange.bucket_bits(whole) > 4
+    assert same(jaccard.near_duplicates(whole).collect(), brute_components(plain))
+    assert same(repeats.remove_repeats(whole).collect(), brute_repeats(plain))
+
+
 def test_near_duplicates_other_sizes(docs, plain):
     assert same(jaccard.near_duplicates(docs, size=2, percent=60).collect(), brute_components(plain, 2, 60))
 
