@@ -9,6 +9,8 @@ from larder.session import materialise
 
 #: Documents below this quality score go; lower than the operator's default, to keep clean documents in doubt.
 REJECT_BELOW = 0.5
+#: Near duplicates share this percentage of their shingles of so many words; the values of op2 bind only that query.
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
 
 ORACLE_SQL = None
 
@@ -21,7 +23,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates the document with the smallest id, once; rows without an id all stay."""
-    found = jaccard.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    found = jaccard.near_duplicates(docs, NEAR_SHINGLE, NEAR_PERCENT).where("doc_id = component_id").select("doc_id").distinct()
     named = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).join(found, "doc_id", "left_semi")
     return named.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 

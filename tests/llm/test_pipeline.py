@@ -1,10 +1,14 @@
 """The stages in a row against their operators, on a small table."""
 
+import random
 from collections import Counter
 
 import corpus_pipeline
 from larder.llm import decontaminate, jaccard, packing, queries
 
+from .conftest import invented
+from .test_pairs import brute_components
+
 ROOT = "/root/testdata/sf0.001"
 
 
@@ -37,3 +41,14 @@ def test_repeated_and_null_ids(spark, docs):
     out = corpus_pipeline.distinct_documents(spark, docs, "")
     ids = Counter(r.doc_id for r in out.collect())
     assert max(n for d, n in ids.items() if d is not None) == 1 and ids[None] == 1
+
+
+def test_near_copies_of_the_stage(spark):
+    """The stage links at five words and 0.8: copies with a fifth more text go, those with a third more stay."""
+    rng = random.Random(5)
+    texts = [invented(rng, 100, 50_000) for _ in range(12)]
+    texts += [t + " " + invented(rng, n, 50_000) for t, n in zip(texts, (2, 8, 14, 18, 20, 22, 23, 24, 25, 28, 33, 50), strict=True)]
+    plain = list(enumerate(texts))
+    out = corpus_pipeline.distinct_documents(spark, spark.createDataFrame(plain, "doc_id bigint, text string"), "")
+    kept = {r.doc_id for r in out.collect()}
+    assert kept == {c for _, _, c in brute_components(plain, 5, 80)} != {c for _, _, c in brute_components(plain)}
