@@ -7,6 +7,9 @@ the earliest deadline goes first. Every source is then less than one block away
 Weights are whole shares, so the schedule repeats after as many slots as there are shares in sum: one such frame is
 scheduled, and every block finds its slot by arithmetic. When a source runs out, one frame takes its last blocks, and the
 others go on with their shares of what is left; these spans of slots are called phases. All documents are placed.
+
+Only sources with several blocks per frame need a schedule; those with one may stand anywhere in the frame and take the
+open slots by number. So any number of sources is mixed by a sort and joins of tables with no more rows than blocks.
 """
 
 from __future__ import annotations
@@ -15,12 +18,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.operators.ranks import number_rows
+from larder.session import materialise
 
 #: Documents per block.
 BLOCK_ROWS = 8
 #: Shares that the default weights are rounded to.
 SHARES = 100
-#: Largest number of sources. A frame's schedule is broadcast for every phase: at most 2 * sources * shares rows.
+#: Largest number of sources, unless a caller allows any number.
 MAX_SOURCES = 500
 
 
@@ -31,95 +35,114 @@ def balanced_shares(counts: DataFrame, power: float = 0.5, shares: int = SHARES)
     return counts.select("source", share.alias("share"))
 
 
-PHASES = """
-aggregate(
-  sequence(1, 2 * size(s)),
-  named_struct('rest', transform(s, x -> x.blocks),
-               'out', cast(array() as array<struct<frames: bigint, quota: array<bigint>>>)),
-  (a, k) -> transform(
-    array(named_struct(
-      'frames', if(k % 2 = 1, coalesce(array_min(filter(
-        zip_with(a.rest, s, (r, x) -> if(r > 0, r div x.share, null)), f -> f is not null)), 0L), 1L),
-      'quota', if(k % 2 = 1, zip_with(a.rest, s, (r, x) -> if(r > 0, x.share, 0L)), zip_with(a.rest, s, (r, x) -> least(r, x.share))))),
-    p -> named_struct('rest', zip_with(a.rest, p.quota, (r, q) -> r - p.frames * q), 'out', concat(a.out, array(p))))[0],
-  a -> filter(a.out, p -> p.frames > 0 and exists(p.quota, q -> q > 0)))
-"""
-
-#: The sources of one frame of ``total`` slots in the order served, with each one's number of blocks served before.
+#: Slots of the blocks of the sources ``s`` (two blocks or more each) in one frame of ``total`` slots, by earliest deadline;
+#: ``jobs`` is their number of blocks. Slots at which none of them is released stay open.
 FRAME = """
 aggregate(
-  sequence(0L, total - 1),
-  named_struct('served', transform(quota, q -> 0L), 'out', cast(array() as array<struct<i: int, r: bigint>>)),
-  (a, t) -> transform(
-    array(array_min(filter(transform(sequence(0, size(quota) - 1), i -> if(
-      a.served[i] < quota[i] and (a.served[i] * total) div quota[i] <= t,
-      named_struct('due', ((a.served[i] + 1) * total + quota[i] - 1) div quota[i], 'i', i), null)), x -> x is not null)).i),
-    c -> named_struct('served', transform(a.served, (v, i) -> if(i = c, v + 1, v)),
-                      'out', concat(a.out, array(named_struct('i', c, 'r', a.served[c])))))[0],
+  sequence(1L, jobs),
+  named_struct('t', 0L, 'served', transform(s, x -> 0L), 'out', cast(array() as array<struct<i: int, r: bigint, at: bigint>>)),
+  (a, k) -> transform(
+    array(greatest(a.t, array_min(zip_with(s, a.served, (x, v) -> if(v < x.quota, (v * total) div x.quota, null))))),
+    t -> transform(
+      array(array_min(filter(transform(s, (x, i) -> if(
+        a.served[i] < x.quota and (a.served[i] * total) div x.quota <= t,
+        named_struct('due', ((a.served[i] + 1) * total + x.quota - 1) div x.quota, 'i', i), null)), x -> x is not null)).i),
+      c -> named_struct('t', t + 1, 'served', transform(a.served, (v, i) -> if(i = c, v + 1, v)),
+                        'out', concat(a.out, array(named_struct('i', c, 'r', a.served[c], 'at', t)))))[0])[0],
   a -> a.out)
 """
 
 
+def phases_of(sources: DataFrame) -> DataFrame:
+    """(phase, from_frame, frames): runs of equal frames. In frame t a source serves its share, or what it has left.
+
+    A phase of full frames ends before the first frame in which a source runs short; that frame is a phase of its own. It is
+    no phase start if the sources that end there have used up their last block one frame before, as that one's last. There
+    are at most as many distinct ends as the square root of twice the number of blocks, however many sources.
+    """
+    ends = sources.groupBy(F.expr("blocks div share").alias("q")).agg(F.max(F.expr("blocks % share > 0")).alias("short"))
+    order = Window.orderBy("q")
+    ends = ends.withColumn("new", F.when(F.col("short") | (F.coalesce(F.lag("q").over(order), F.lit(-2)) < F.col("q") - 1), F.col("q")))
+    ends = ends.withColumn("new", F.last("new", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    last = ends.where((F.col("q") - F.col("new")) % 2 == 0).select("q", F.coalesce(F.lag("q").over(order) + 1, F.lit(0)).alias("low"))
+    runs = F.array(F.struct(F.col("low").alias("from_frame"), (F.col("q") - F.col("low")).alias("frames")),
+                   F.struct(F.col("q").alias("from_frame"), F.lit(1).cast("bigint").alias("frames")))
+    found = last.select(F.explode(runs).alias("x")).select("x.*").where("frames > 0")
+    return found.withColumn("phase", F.row_number().over(Window.orderBy("from_frame")) - 1)
+
+
 def schedule(sources: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Phases and frame of (source, blocks, share) rows: one row per source and phase, one per phase and slot in a frame.
+    """Phases and frames of (source, blocks, share) rows, both written to the shared folder.
 
-    Phases: phase, source, first (its first block there), blocks, quota (blocks per frame), total (slots per frame),
-    start (first slot). Frame: phase, source, r (block within the frame), at (slot within the frame).
+    Phases: phase, from_frame, frames, total (slots per frame), start (first slot). Frames: phase, source, r (block within
+    the frame), at (slot within the frame); they have no more rows in sum than there are blocks.
     """
-    one = sources.where("blocks > 0").agg(F.sort_array(F.collect_list(F.struct("source", "blocks", "share"))).alias("s"))
-    one = one.where(F.size("s") > 0).select("s", F.expr(PHASES).alias("p"))
-    phases = one.select("s", F.posexplode("p").alias("phase", "p")).select("s", "phase", "p.frames", "p.quota")
-    phases = phases.withColumn("total", F.expr("aggregate(quota, 0L, (a, q) -> a + q)"))
+    runs = materialise(phases_of(sources), "mix-phases")
+    parts = sources.join(F.broadcast(runs), F.col("from_frame") * F.col("share") < F.col("blocks"))  # few, see phases_of
+    quota = F.least("share", F.expr("blocks - from_frame * share"))
+    parts = materialise(parts.select("phase", "source", quota.alias("quota")), "mix-parts")
+    totals = parts.groupBy("phase").agg(F.sum("quota").alias("total"))
     before = Window.orderBy("phase").rowsBetween(Window.unboundedPreceding, -1)
-    phases = phases.withColumn("start", F.coalesce(F.sum(F.expr("frames * total")).over(before), F.lit(0)))
-    parts = phases.select("phase", "frames", "total", "start", F.posexplode(F.arrays_zip("s", "quota")).alias("i", "x"))
-    parts = parts.select("phase", "total", "start", "x.s.source", "x.quota", (F.col("frames") * F.col("x.quota")).alias("blocks"))
-    earlier = Window.partitionBy("source").orderBy("phase").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("first", F.coalesce(F.sum("blocks").over(earlier), F.lit(0))).where("quota > 0")
-    frame = phases.select("phase", "s", F.posexplode(F.expr(FRAME)).alias("at", "x"))
-    frame = frame.select("phase", F.col("at").cast("bigint").alias("at"), F.get("s", F.col("x.i"))["source"].alias("source"), "x.r")
-    return parts, frame
+    phases = runs.join(totals, "phase").withColumn("start", F.coalesce(F.sum(F.expr("frames * total")).over(before), F.lit(0)))
+    phases = materialise(phases, "mix-slots")
+    # sources of one block per frame may stand at any slot of it: they take, in order, those that the others leave open
+    many = parts.where("quota > 1").groupBy("phase").agg(F.sort_array(F.collect_list(F.struct("source", "quota"))).alias("s"), F.sum("quota").alias("jobs"))
+    many = many.join(totals, "phase").select("phase", "s", F.expr(FRAME).alias("x"))
+    many = materialise(many, "mix-frames")
+    frame = many.select("phase", "s", F.explode("x").alias("x"))
+    frame = frame.select("phase", F.get("s", F.col("x.i"))["source"].alias("source"), "x.r", "x.at")
+    ones = number_rows(parts.where("quota = 1").select("phase", "source"), [F.col("phase"), F.col("source")])
+    firsts = ones.groupBy("phase").agg(F.min("rn").alias("rn0"))
+    opens = many.select("phase", F.expr("transform(array_sort(x.at), (v, i) -> v - i)").alias("taken"))
+    ones = ones.join(F.broadcast(firsts), "phase").join(opens, "phase", "left").withColumn("n", F.col("rn") - F.col("rn0"))
+    at = F.col("n") + F.coalesce(F.expr("size(filter(taken, v -> v <= n))"), F.lit(0))
+    ones = ones.select("phase", "source", F.lit(0).cast("bigint").alias("r"), at.alias("at"))
+    return phases, materialise(frame.unionByName(ones), "mix-slots-of-blocks")
 
 
 def _same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
-def mixed(docs: DataFrame, targets: DataFrame | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def mixed(docs: DataFrame, targets: DataFrame | None = None, block_rows: int = BLOCK_ROWS, any_number: bool = False) -> DataFrame:
     """One row per document: doc_id, source, block, offset, phase, weight, release, deadline, slot.
 
     ``targets`` has (source, share) with positive whole shares; a source without one has one share, and without
     ``targets`` the shares follow ``balanced_shares``. ``slot`` orders the blocks and ``offset`` the documents of a block;
     the last block of a source may be short. release <= slot < deadline always holds. A null source is a source of its
-    own; null ids come first within a source, repeated rows each get their place; other columns are ignored. More than
-    MAX_SOURCES sources raise an error: group small ones first.
+    own; null ids come first within a source, repeated rows each get their place; other columns are ignored. With
+    ``any_number`` there may be any number of sources; without it more than MAX_SOURCES of them raise an error.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"))
     rows = number_rows(rows, [F.col("source"), F.xxhash64("doc_id"), F.col("doc_id")])
-    counts = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.min("rn").alias("from_"))
-    if counts.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: group the small ones")
+    counts = materialise(rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.min("rn").alias("from_")), "mix-counts")
+    if not any_number and counts.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources: allow any number, or group the small ones")
     if targets is None:
         shares = balanced_shares(counts)
     else:
         shares = targets.select(F.col("source").cast("string").alias("source"), F.col("share").cast("bigint").alias("share"))
         shares = shares.where("share > 0").groupBy("source").agg(F.max("share").alias("share"))
     shares = shares.withColumnRenamed("source", "of_")
-    known = counts.join(F.broadcast(shares), _same(F.col("source"), F.col("of_")), "left").drop("of_")
+    known = counts.join(shares, _same(F.col("source"), F.col("of_")), "left").drop("of_")
     known = known.select("source", "from_", F.coalesce("share", F.lit(1)).alias("share"), F.ceil(F.col("n") / block_rows).alias("blocks"))
-    parts, frame = schedule(known.select("source", "blocks", "share"))
-    starts = known.select(F.col("source").alias("of_"), "from_")
-    placed = rows.join(F.broadcast(starts), _same(F.col("source"), F.col("of_"))).drop("of_")
+    known = materialise(known, "mix-sources")
+    phases, frame = schedule(known.select("source", "blocks", "share"))
+    # no broadcast hints: the planner knows the sizes of the written tables
+    placed = rows.join(known.withColumnRenamed("source", "of_"), _same(F.col("source"), F.col("of_"))).drop("of_")
     at = F.col("rn") - F.col("from_")
-    placed = placed.select("doc_id", "source", F.floor(at / block_rows).alias("block"), (at % block_rows).alias("offset"))
-    parts = parts.withColumnRenamed("source", "of_")
-    inside = (F.col("block") >= F.col("first")) & (F.col("block") < F.col("first") + F.col("blocks"))
-    placed = placed.join(F.broadcast(parts), _same(F.col("source"), F.col("of_")) & inside).drop("of_")
-    placed = placed.withColumn("j", F.col("block") - F.col("first"))
-    placed = placed.withColumn("frame_start", F.col("start") + F.expr("j div quota") * F.col("total"))
+    placed = placed.select("doc_id", "source", "share", "blocks", F.floor(at / block_rows).alias("block"), (at % block_rows).alias("offset"))
+    placed = placed.withColumn("t", F.expr("block div share"))
+    frames = phases.withColumn("t_", F.explode(F.expr("sequence(from_frame, from_frame + frames - 1)"))).drop("frames")
+    placed = placed.join(frames, F.col("t") == F.col("t_")).drop("t_")
+    placed = placed.withColumns({
+        "quota": F.least("share", F.expr("blocks - from_frame * share")),
+        "j": F.expr("block - from_frame * share"),
+        "r": F.expr("block - t * share"),
+        "frame_start": F.expr("start + (t - from_frame) * total"),
+    })
     frame = frame.select(F.col("phase").alias("phase_"), F.col("source").alias("of_"), F.col("r").alias("r_"), "at")
-    same = (F.col("phase") == F.col("phase_")) & _same(F.col("source"), F.col("of_")) & (F.expr("j % quota") == F.col("r_"))
-    placed = placed.join(F.broadcast(frame), same)
+    placed = placed.join(frame, (F.col("phase") == F.col("phase_")) & _same(F.col("source"), F.col("of_")) & (F.col("r") == F.col("r_")))
     return placed.select(
         "doc_id", "source", "block", "offset", "phase",
         (F.col("quota") / F.col("total")).alias("weight"),
@@ -134,7 +157,7 @@ def interleave(docs: DataFrame, targets: DataFrame | None = None, block_rows: in
 
     Rows that share an id stand together.
     """
-    places = mixed(docs, targets, block_rows).groupBy("doc_id").agg(F.min(F.struct("slot", "offset")).alias("place_"))
+    places = mixed(docs, targets, block_rows, any_number=True).groupBy("doc_id").agg(F.min(F.struct("slot", "offset")).alias("place_"))
     places = places.withColumnRenamed("doc_id", "place_id_")
     joined = docs.join(places, docs["doc_id"].cast("bigint").eqNullSafe(places["place_id_"]))
     n = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

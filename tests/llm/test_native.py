@@ -63,6 +63,37 @@ def test_mixing_limits(spark, empty, docs, monkeypatch):
         mixing.mixed(docs)
 
 
+def test_mixing_any_number(spark):
+    """More sources than MAX_SOURCES, of very unlike sizes, and one with a third of the rows."""
+    sizes = [1500, 400, 170, 90, 60] + [1 + i % 37 for i in range(620)]
+    data = [(s * 10_000 + i, None if s == 3 else f"d{s}") for s, n in enumerate(sizes) for i in range(n)]
+    df = spark.createDataFrame(data, "doc_id bigint, source string").repartition(5)
+    found = mixing.mixed(df, block_rows=2, any_number=True)
+    assert no_python(found)
+    rows = found.collect()
+    assert Counter((r.doc_id, r.source) for r in rows) == Counter(data)
+    assert all(r.release <= r.slot < r.deadline for r in rows)
+    assert {r.slot for r in rows} == set(range(sum(-(-n // 2) for n in sizes)))
+    assert len({(r.slot, r.source, r.block) for r in rows}) == len({r.slot for r in rows})
+    assert mixing.interleave(df).count() == len(data)
+
+
+def test_mixing_phases(spark):
+    """Phases against a walk frame by frame: full frames as long as all can serve them, then the frame that one can't."""
+    for sources in ([(6, 3), (100, 3)], [(6, 3), (6, 3)], [(2, 2), (4, 2), (6, 2), (9, 2), (8, 1)], [(1, 4), (3, 1), (4, 1), (5, 1), (6, 1), (7, 2)]):
+        left, want, t = list(sources), [], 0
+        while left := [(b, s) for b, s in left if b > 0]:
+            n = min(b // s for b, s in left)
+            want += [(t, n)] if n else []
+            left, t = [(b - n * s, s) for b, s in left], t + n
+            if any(b > 0 for b, _ in left):
+                want.append((t, 1))
+                left, t = [(b - min(b, s), s) for b, s in left], t + 1
+        df = spark.createDataFrame([(str(i), b, s) for i, (b, s) in enumerate(sources)], "source string, blocks bigint, share bigint")
+        phases, _ = mixing.schedule(df)
+        assert sorted((r.from_frame, r.frames) for r in phases.collect()) == want
+
+
 def test_interleave(docs):
     mixed = mixing.interleave(docs, files=3)
     assert mixed.columns == docs.columns
