@@ -43,7 +43,7 @@ def op4(spark: SparkSession, root: str) -> DataFrame:
 
 @query("op5_iblt_fingerprints")
 def op5(spark: SparkSession, root: str) -> DataFrame:
-    return sketch.edited_fingerprints(table(spark, root, "documents"))
+    return sketch.edited_fingerprints(table(spark, root, "documents"), by_content=True)
 
 
 @query("op6_substring_dedup")

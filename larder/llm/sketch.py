@@ -6,12 +6,16 @@ the digests and an XOR of check hashes. The cells of two versions are subtracted
 that hold a single digest are then peeled until nothing is left, which recovers the differing digests. A sketch that is
 too small for the difference leaves cells over; it is then built anew with three times the cells.
 
-Words per run follow the text's length, so that a text has some 8 to 16 runs besides its line ends. Large texts spread
+Words per run follow the text's length, so that a text has some 8 to 16 runs besides its line ends. Runs of a fixed number
+of words are the default of the functions; cut by content, as the query does it, a run ends after a pair of words whose hash
+says so, so that a word more or less changes the one or two runs around it and not all that follow. Large texts spread
 their digests over several small sketches, by hash, so the work grows with the length of the text and not its square.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +46,25 @@ def digests(text: str, n_chars: str) -> str:
     return f"array_sort(array_distinct(transform(regexp_extract_all({text}, {pattern}, 0), p -> xxhash64(p))))"
 
 
+def runs(text: str, n_chars: str) -> str:
+    """SQL: the paragraphs of a text cut by content, in order. A run ends at a line end, after one in ``run_words`` pairs of
+    neighbouring words, chosen by hash, and after four times as many words if no pair is chosen till then."""
+    words = f"regexp_extract_all({text}, '[^ \\n]+ *\\n?| +\\n?|\\n', 0)"
+    ends = (
+        "array_compact(transform(t.w, (x, i) -> if(i = size(t.w) - 1 or endswith(x, '\\n') "
+        "or pmod(xxhash64(x, get(t.w, i + 1)), t.m) = 0, i, null)))"
+    )
+    run = "rtrim('\\n', array_join(slice(t.w, p + 1, least(4 * t.m, e - p + 1)), ''))"
+    cut = f"flatten(transform(b, (e, k) -> transform(sequence(if(k = 0, 0, b[k - 1] + 1), e, 4 * t.m), p -> {run})))"
+    bound = f"transform(array(named_struct('w', {words}, 'm', {run_words(n_chars)})), t -> transform(array({ends}), b -> {cut})[0])[0]"
+    return f"filter({bound}, r -> r <> '')"
+
+
+def digests_by_content(text: str, n_chars: str) -> str:
+    """SQL: as ``digests``, with paragraphs cut by content."""
+    return f"array_sort(array_distinct(transform({runs(text, n_chars)}, p -> xxhash64(p))))"
+
+
 def spot(d: str, j: str, m: int) -> str:
     """SQL: is digest ``d`` in cell ``j``? One cell in each third of the ``m`` cells."""
     third = m // 3
@@ -96,10 +119,10 @@ def fingerprint(ds: str, n_chars: str) -> str:
     return f"concat_ws('-', {run_words(n_chars)}, size({ds}), array_join({shown}, '-'))"
 
 
-def compared(df: DataFrame, left: str, right: str, name: str) -> DataFrame:
+def compared(df: DataFrame, left: str, right: str, name: str, cut: Callable[[str, str], str] = digests) -> DataFrame:
     """Adds ``name``: the likeness of two text columns, cut as for the longer of them."""
     n = f"greatest(length({left}), length({right}))"
-    named = f"named_struct('a', {digests(left, n)}, 'b', {digests(right, n)})"
+    named = f"named_struct('a', {cut(left, n)}, 'b', {cut(right, n)})"
     return df.withColumn(name, F.expr(f"transform(array({named}), v -> {likeness('v.a', 'v.b')})[0]"))
 
 
@@ -139,21 +162,23 @@ def with_next(docs: DataFrame) -> DataFrame:
     return inner.unionByName(last.join(first, "bucket").select("doc_id", "text", "next_text"))
 
 
-def edited_fingerprints(docs: DataFrame) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, by_content: bool = False) -> DataFrame:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text has its last floor(n_chars / 4) code points replaced by the first as many of the next document. A null
     text counts as empty; a null id comes after all others; of rows that share an id the one with the smaller text hash
-    comes first; one document is its own next; an empty table gives no rows. Other columns are ignored.
+    comes first; one document is its own next; an empty table gives no rows. Other columns are ignored. ``by_content`` cuts
+    paragraphs by content instead of by a fixed number of words.
     """
+    cut = digests_by_content if by_content else digests
     rows = with_next(docs).withColumn("n_chars", F.length("text").cast("bigint"))
     head = F.expr("substring(text, 1, cast(n_chars as int) - cast(n_chars div 4 as int))")
     rows = rows.withColumn("edited", F.concat(head, F.expr("substring(next_text, 1, cast(n_chars div 4 as int))")))
-    rows = compared(compared(rows, "text", "edited", "near_edited"), "text", "next_text", "near_next")
+    rows = compared(compared(rows, "text", "edited", "near_edited", cut), "text", "next_text", "near_next", cut)
 
     def printed(text: str) -> Column:
         n = f"length({text})"
-        return F.expr(f"transform(array({digests(text, n)}), v -> {fingerprint('v', n)})[0]")
+        return F.expr(f"transform(array({cut(text, n)}), v -> {fingerprint('v', n)})[0]")
 
     return rows.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), printed("text").alias("fingerprint"),

@@ -3,6 +3,7 @@
 import hashlib
 import json
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -145,6 +146,28 @@ def test_fingerprint_edges(spark, docs, empty, plain):
     assert [r.near_next for r in sketch.edited_fingerprints(one).collect()] == [1.0]
 
 
+def test_cut_by_content(spark):
+    """One word inserted near the start of a one-line text changes few paragraphs; the paragraphs make up the text."""
+    rng = random.Random(9)
+    texts = [" ".join(f"v{rng.randrange(300)}" for _ in range(rng.randrange(30, 900))) for _ in range(30)]
+    data = []
+    for i, t in enumerate(texts):
+        words = t.split(" ")
+        data += [(2 * i, t), (2 * i + 1, " ".join([*words[:3], "inserted", *words[3:]]))]
+    df = spark.createDataFrame(data, "doc_id bigint, text string")
+    found = sketch.edited_fingerprints(df, by_content=True)
+    assert no_python(found)
+    near = {r.doc_id: r.near_next for r in found.collect()}
+    copies = sorted(near[2 * i] for i in range(30))
+    others = sorted(near[2 * i + 1] for i in range(30))
+    assert copies[0] > 0.5 and copies[15] > 0.8 and others[-1] < 0.3
+    odd = ["", " ", "\n\n", "  a  b\n\n c\n", "same " * 500, "x" * 3000, "é ü\tß\n" * 40, *texts[:5]]
+    df = spark.createDataFrame([(t,) for t in odd], "text string")
+    for r in df.selectExpr("text", f"{sketch.runs('text', 'length(text)')} AS runs").collect():
+        assert "".join(r.runs) == r.text.replace("\n", "") and all(r.runs)
+    assert len(next(r for r in df.selectExpr(f"{sketch.runs('text', 'length(text)')} AS runs").collect() if r.runs and r.runs[0].startswith("same")).runs) > 1
+
+
 def test_sketch_retries(spark):
     """Differences beyond the first sketch's size are recovered by larger ones, and beyond all sizes by counting."""
     sets = [(list(range(n)), list(range(n // 2, n + extra))) for n in (0, 4, 30, 90, 400) for extra in (0, 3, 200)]
