@@ -42,10 +42,17 @@ RARE = 32
 #: Tokens are hashes of 56 bits; the empty low byte costs nothing in a shuffle. Two texts of 10,000 tokens have a false
 #: common one with a chance of one in a billion.
 TOKEN_BITS = ~np.uint64(0xFF)
+#: Keys from here on stand for texts without an id: above every id, spread by the text's hash.
+LOST = exchange.NO_ID - (1 << 52)
 #: Largest set whose frequent prefix tokens are indexed only as combinations of two.
 COMBINED = 300
 
 
+def search_key(ident: Column, text: Column) -> Column:
+    """The id or, without one, a key of the text itself: equal texts share it, different ones are searched apart."""
+    return F.coalesce(ident.cast("bigint"), F.lit(LOST) + F.xxhash64(text).bitwiseAND((1 << 52) - 1))
+
+
 def shingle_sets(part: Texts, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(token, document) pairs in document order, tokens ascending, distinct; and the set size per document.
 
@@ -85,14 +92,15 @@ def set_classes(docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id") ->
         for batch in batches:
             for part in text_slices(batch.column(1)):
                 keys, _, sizes = shingle_sets(part, size)
+                own = [batch.column(c).slice(part.first, len(part)) for c in (0, 2)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part.first, len(part)), pa.array(sizes), pa.array(_signatures(keys, sizes), pa.binary())],
-                    names=["doc_id", "n_shingles", "sig"],
+                    [own[0], pa.array(sizes), own[1], pa.array(_signatures(keys, sizes), pa.binary())],
+                    names=["doc_id", "n_shingles", "k", "sig"],
                 )
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("t"))
-    signed = rows.mapInArrow(run, "doc_id bigint, n_shingles bigint, sig binary")
-    signed = materialise(signed.withColumn("k", exchange.key_of(F.col("doc_id"))), "signatures")
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("t"), search_key(F.col(id_col), text).alias("k"))
+    signed = materialise(rows.mapInArrow(run, "doc_id bigint, n_shingles bigint, k bigint, sig binary"), "signatures")
     # written first, so that the join deals out both sides itself and can split a class with very many copies
     classes = materialise(signed.where("n_shingles > 0").groupBy("sig").agg(F.min("k").alias("rep")), "representatives")
     return materialise(signed.join(classes, "sig", "left").select("doc_id", "n_shingles", "k", "rep"), "classes")
@@ -153,7 +161,8 @@ def shared_tokens(docs: DataFrame, bits: int, size: int = SHINGLE, id_col: str =
         answer = (np.bincount(group) > 1)[group] & (ids != nothing)
         return exchange.answer_table(exchange.answers(ids[answer], keys[answer], bits))
 
-    rows = docs.select(exchange.key_of(F.col(id_col)).alias("k"), F.coalesce("text", F.lit("")).alias("t"))
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(search_key(F.col(id_col), text).alias("k"), text.alias("t"))
     return rows.mapInArrow(send, exchange.SENT).groupBy("bucket").applyInArrow(merge, exchange.ANSWERS)
 
 
@@ -248,7 +257,8 @@ def near_duplicates(
     """One row per document: doc_id, n_shingles, component_id.
 
     Words are `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z. A null or empty text has an empty set and links with nothing.
-    A null id counts as larger than every id; its component is the smallest id it reaches, or null. Rows with the same id
+    A null id counts as larger than every id (ids from LOST on are taken for null ones); its component is the smallest id
+    it reaches, or null; different texts without an id are different documents. Rows with the same id
     and the same text are one document, each with its row; an id must not stand for two different texts (their sets are
     then mixed in the search for links to other texts). Other columns are ignored, whatever their names.
     """
@@ -256,4 +266,4 @@ def near_duplicates(
     found = links(candidates(docs, classes, size, percent, id_col), percent, rare, combined)
     joined = classes.join(found, classes["rep"] == found["node"], "left")
     smallest = F.coalesce("component", "rep", "k")
-    return joined.select("doc_id", "n_shingles", F.when(smallest != exchange.NO_ID, smallest).alias("component_id"))
+    return joined.select("doc_id", "n_shingles", F.when(smallest < LOST, smallest).alias("component_id"))

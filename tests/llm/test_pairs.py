@@ -97,6 +97,20 @@ def test_random_groups(spark):
         assert same(jaccard.near_duplicates(df, rare=rare, combined=combined).collect(), want)
 
 
+def test_different_texts_without_id(spark):
+    """Each text without an id keeps its own links, whatever other such texts there are."""
+    rng = random.Random(21)
+    a, b, c, d = (invented(rng, n, 50_000) for n in (120, 60, 300, 90))
+    rows = [(5, a), (8, b), (None, a + " more"), (None, b + " more"), (None, c), (None, c + " more"), (None, d), (None, ""), (9, "x")]
+    rows += [(None, invented(rng, 40, 50_000)) for _ in range(30)]
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    # the same table with an id for every row; ids from 100 on are those that were null
+    named = [(100 + i if d is None else d, t) for i, (d, t) in enumerate(rows)]
+    want = [(None if d >= 100 else d, n, None if g >= 100 else g) for d, n, g in brute_components(named)]
+    assert sorted(g for d, _, g in want if d is None and g is not None) == [5, 8]
+    assert same(got, want)
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 4), (4, 5), (9, 8), (7, 7), (8, 9), (None, 3), *((20, i) for i in range(21, 60))]
     got = dict(map(tuple, graph.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()))
