@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import chat, chat_sql, decontaminate, jaccard, layout, mixing, packing, quality, repeats, sketch, toxicity
+from larder.llm import align, chat, chat_sql, decontaminate, jaccard, layout, mixing, packing, quality, repeats, sketch, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -74,3 +74,8 @@ def op2(spark: SparkSession, root: str) -> DataFrame:
 @query("op10_packed_tokens")
 def op10(spark: SparkSession, root: str) -> DataFrame:
     return packing.packed(table(spark, root, "documents"))
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, root: str) -> DataFrame:
+    return align.alignment(table(spark, root, "documents"))
