@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import align, chat, chat_sql, decontaminate, jaccard, layout, mixing, packing, quality, repeats, sketch, toxicity
+from larder.llm import align, article, chat, chat_sql, decontaminate, jaccard, layout, mixing, packing, quality, repeats, sketch, toxicity, turns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -79,3 +79,13 @@ def op10(spark: SparkSession, root: str) -> DataFrame:
 @query("op13_token_alignment")
 def op13(spark: SparkSession, root: str) -> DataFrame:
     return align.alignment(table(spark, root, "documents"))
+
+
+@query("op11_conversation_repair")
+def op11(spark: SparkSession, root: str) -> DataFrame:
+    return turns.repair(table(spark, root, "conversations"))
+
+
+@query("op12_main_text")
+def op12(spark: SparkSession, root: str) -> DataFrame:
+    return article.extracted(table(spark, root, "pages"))

@@ -50,19 +50,25 @@ def one(text, whole):
             out.append((at, at + len(table[i]), i))
             at += len(table[i])
         spans.append(out)
-    cuts = sorted({e for _, e, _ in spans[0]} & {e for _, e, _ in spans[1]})
-    groups, low = [], 0
-    for cut in cuts:
-        groups.append(tuple([i for s, e, i in side if low <= s and e <= cut] for side in spans))
-        low = cut
+    cuts = {e for _, e, _ in spans[0]} & {e for _, e, _ in spans[1]}
+    sides = []
+    for side in spans:
+        cut, now = [], []
+        for _, e, i in side:
+            now.append(i)
+            if e in cuts:
+                cut.append(now)
+                now = []
+        sides.append(cut)
+    groups = list(zip(*sides, strict=True))
     over, near = [], 0
     for x in spans[0]:
         while spans[1][near][1] <= x[0]:
             near += 1
-        for y in spans[1][near:]:
-            if y[0] >= x[1]:
-                break
-            over.append((x, y))
+        at = near
+        while at < len(spans[1]) and spans[1][at][0] < x[1]:
+            over.append((x, spans[1][at]))
+            at += 1
     return *ids, groups, [(x[2], y[2]) for x, y in over if x[1] == y[1]], len(over)
 
 
