@@ -256,6 +256,53 @@ def target_drift(t: Tables) -> DataFrame:
     return found.select("column", F.round("ks", 6).alias("ks"), F.round("p_value", 6).alias("p_value"), "n_ref", "n_cur")
 
 
+CATEGORIES = ["lang", "source"]
+
+#: Documents with a label against those without, and the chi-square and Jensen-Shannon measures of their categories.
+CATEGORY_SQL = """docs AS (SELECT d.*, d.doc_id IN (SELECT doc_id FROM labels) AS seen FROM documents d),
+cells AS (SELECT "column", "value", count(*) FILTER (seen) AS r, count(*) FILTER (NOT seen) AS c
+  FROM (SELECT 'lang' AS "column", lang AS "value", seen FROM docs UNION ALL SELECT 'source', source, seen FROM docs) GROUP BY "column", "value"),
+sized AS (SELECT *, sum(r) OVER (PARTITION BY "column") AS nr, sum(c) OVER (PARTITION BY "column") AS nc FROM cells),
+parts AS (SELECT *, (r + c) * nr / (nr + nc) AS er, (r + c) * nc / (nr + nc) AS ec, r / nr AS p, c / nc AS q FROM sized),
+of_columns AS (SELECT "column", nr::BIGINT AS n_ref, nc::BIGINT AS n_cur, count(*) AS categories, count(*) FILTER (r = 0) AS new_categories,
+  sum((r - er) * (r - er) / er + (c - ec) * (c - ec) / ec) AS chi2,
+  sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS js_distance
+  FROM parts GROUP BY "column", nr, nc),
+chi AS (SELECT *, CASE WHEN chi2 <= 0 OR categories < 2 THEN 1e0 ELSE 1 - list_sum(list_transform(range(0, 2000),
+  lambda n: exp(((categories - 1) / 2 + n) * ln(chi2 / 2) - chi2 / 2 - lgamma((categories - 1) / 2 + n + 1)))) END AS p_value FROM of_columns)"""
+
+
+def labelled_sides(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Documents that have a label, and those without."""
+    docs, labels = t("documents").select("doc_id", "lang", "source", "n_chars"), t("labels").select("doc_id")
+    return docs.join(labels, "doc_id", "left_semi"), docs.join(labels, "doc_id", "left_anti")
+
+
+@query(
+    "category_drift",
+    f"""WITH {CATEGORY_SQL} SELECT "column", n_ref, n_cur, categories, new_categories, round(chi2, 6) AS chi2,
+    round(js_distance, 6) AS js_distance, round(greatest(p_value, 0e0), 6) AS p_value FROM chi""",
+)
+def category_drift(t: Tables) -> DataFrame:
+    """Languages and sources of the labelled documents against those of the others."""
+    counts = materialise(drift.category_counts(*labelled_sides(t), CATEGORIES), "category-counts")
+    return rounded(drift.category_drift(counts), [])
+
+
+@query(
+    "drift_by_role",
+    f"""WITH {CATEGORY_SQL}, long AS (SELECT CASE WHEN seen THEN 'validation' ELSE 'testing' END AS label, 'n_chars' AS "column", n_chars::DOUBLE AS "value" FROM docs),
+    {KS}, both_roles AS (SELECT "column", 'numeric' AS role, 'ks' AS test, ks AS statistic, p_value FROM tested
+      UNION ALL SELECT "column", 'categorical', 'chi2', chi2, p_value FROM chi)
+    SELECT "column", role, test, round(statistic, 6) AS statistic, round(greatest(p_value, 0e0), 6) AS p_value, (p_value < 0.05e0)::INT AS drifted,
+    (avg((p_value < 0.05e0)::INT) OVER () >= 0.5)::INT AS dataset_drift FROM both_roles""",
+)
+def drift_by_role(t: Tables) -> DataFrame:
+    """The test of each column follows from its role."""
+    roles = ColumnRoles(numeric=["n_chars"], categorical=CATEGORIES, ident=["doc_id"])
+    return rounded(drift.drift_by_role(*labelled_sides(t), roles), [])
+
+
 # --- model performance --------------------------------------------------------------------------------------------
 
 QUALITY = """count(*) AS n, round(avg(error), 6) AS mean_error, round(stddev_samp(error), 6) AS error_std, round(avg(abs(error)), 6) AS mae,
