@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larder.plans import foods, models, monitoring, streams, texts  # noqa: F401
+from larder.plans import foods, models, monitoring, stored, streams, texts  # noqa: F401
 from larder.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

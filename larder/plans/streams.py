@@ -11,7 +11,7 @@ from larder.plans.registry import FACTS, LOG_SQL, query
 from larder.plans.views import Tables
 from larder.session import fresh_path
 from larder.streaming import ingest, monitor
-from larder.sources import tables
+from larder.sources import keyed, tables
 
 
 @query(
@@ -31,6 +31,22 @@ def stream_ingest(t: Tables) -> DataFrame:
     return tables.scan(t.spark, collection).select("fid", "id", F.round("score", 6).alias("score"))
 
 
+@query(
+    "stream_filtered",
+    f"""WITH {FACTS} SELECT fid, 'food-' || fid AS id, round(0e0 + CASE WHEN lines IS NULL THEN 0 ELSE floor(hi_qty) / 65 * 0.2e0 - lines / 2400 * 0.2e0 END, 6) + 0e0 AS score
+    FROM facts WHERE o_orderpriority <> '5-LOW'""",
+)
+def stream_filtered(t: Tables) -> DataFrame:
+    """As ``stream_ingest``, into a collection in hash partitions whose filters tell new keys from known ones."""
+    source, collection = fresh_path(t.spark, "lines"), fresh_path(t.spark, "foods")
+    checkpoint = fresh_path(t.spark, "ingest-state")
+    lines = views.food_lines(t)
+    for drop in (lines.where(F.col("value").contains("MEDIUM")), lines):
+        drop.select("value").write.mode("append").text(source)
+        ingest.ingest_stream(t.spark, source, collection, checkpoint, filtered=True).awaitTermination()
+    return keyed.scan(t.spark, collection).select("fid", "id", F.round("score", 6).alias("score"))
+
+
 @query(
     "stream_quarantine",
     f"""WITH {FACTS} SELECT o_orderpriority AS priority, count(*) AS lines FROM facts WHERE o_orderpriority = '5-LOW' GROUP BY ALL""",

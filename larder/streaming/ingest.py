@@ -12,6 +12,7 @@ from larder import schemas
 from larder.functions.scoring import Scorer, nutrient_score, score_foods
 from larder.operators.filters import before_ingest
 from larder.operators.joins import enrich
+from larder.sources import keyed
 from larder.sources.files import food_documents, parse_lines
 from larder.sources.tables import append_new, keyless
 
@@ -32,11 +33,12 @@ def scored(parsed: DataFrame, facts: DataFrame | None = None, scorer: Scorer = n
 
 
 def write_batch(
-    collection: str, key: str = "fdc_id", facts: DataFrame | None = None, quarantine: str | None = None
+    collection: str, key: str = "fdc_id", facts: DataFrame | None = None, quarantine: str | None = None, filtered: bool = False
 ) -> Callable[[DataFrame, int], None]:
     """Batch writer that adds only unknown keys, so a repeated batch changes nothing.
 
-    Lines that can't be parsed and documents without a key go to the ``quarantine`` folder, one folder per batch.
+    Lines that can't be parsed and documents without a key go to the ``quarantine`` folder, one folder per batch. With
+    ``filtered`` the collection is one of ``sources.keyed`` and keeps filters of its keys; the first batch creates it.
     """
 
     def write(lines: DataFrame, batch: int) -> None:
@@ -44,19 +46,22 @@ def write_batch(
         docs = scored(parsed, facts)
         if quarantine:
             bad.unionByName(keyless(docs, key)).write.mode("overwrite").parquet(f"{quarantine}/batch={batch}")
-        append_new(docs, collection, key)
+        if filtered:
+            keyed.append_or_create(docs, collection, key, "id")
+        else:
+            append_new(docs, collection, key)
 
     return write
 
 
 def ingest_stream(
     spark: SparkSession, source: str, collection: str, checkpoint: str, facts: DataFrame | None = None,
-    quarantine: str | None = None,
+    quarantine: str | None = None, filtered: bool = False,
 ) -> StreamingQuery:
     """Take in all files not seen before, then stop."""
     lines = spark.readStream.schema("value string").text(source)
     return (
-        lines.writeStream.foreachBatch(write_batch(collection, facts=facts, quarantine=quarantine))
+        lines.writeStream.foreachBatch(write_batch(collection, facts=facts, quarantine=quarantine, filtered=filtered))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
