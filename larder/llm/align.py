@@ -1,6 +1,6 @@
 """Token ids of two vocabularies aligned on the bytes of a text.
 
-Vocabulary A is a byte-level pair vocabulary, B a piece vocabulary with bytes as its fallback. Both see a space and then
+Vocabulary A is a byte-level pair vocabulary, whose merges are the ranks of its tokens, B a piece vocabulary with bytes as its fallback. Both see a space and then
 the text. All tokens of both are intervals of bytes; sorted by start, a running maximum of the ends shows where no token
 of either side reaches across: there a new group begins. Within a group the overlapping tokens are expanded to pairs; a
 pair whose tokens end at the same byte is a link.
@@ -15,25 +15,27 @@ the texts, and may be broadcast.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from larder.llm.packing import WIDE_SPACE
+from larder.llm.packing import PATTERN, WIDE_SPACE
 from larder.llm.words import SPACES, Words, text_slices, word_hashes
 from larder.session import materialise
 
 VOCABULARY_A = "/opt/tokenizers/byte_bpe_50k.json"
 VOCABULARY_B = "/opt/tokenizers/piece_bpe_32k.model"
 #: Distinct pieces that a worker remembers, bytes of text that it turns into rows at once, and pieces encoded together.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 SLICE_BYTES = 1 << 20
-ENCODED_TOGETHER = 20_000
+ENCODED_TOGETHER = 5_000
 #: The id of B in the low half of a link, the id of A in the high half.
 HALF = 32
 
@@ -45,13 +47,15 @@ def byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
-def token_bytes_a(tokenizer: Tokenizer) -> list[bytes]:
-    """Bytes of every id of A. An id whose text isn't byte-level, such as a special one, stands for its own text."""
-    table = byte_of_character()
-    out = [b""] * tokenizer.get_vocab_size()
-    for token, i in tokenizer.get_vocab().items():
-        out[i] = bytes(table[c] for c in token) if all(c in table for c in token) else token.encode()
-    return out
+def ranks_a(file: bytes) -> dict[bytes, int]:
+    """Bytes and id of every token of A. Its merges must be in the order of their ids, which are then their ranks."""
+    model = json.loads(file)["model"]
+    table, vocabulary = byte_of_character(), model["vocab"]
+    merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    ids = [vocabulary[m] for m in merged]
+    if ids != sorted(ids):
+        raise ValueError("merges that aren't in the order of their ids")
+    return {bytes(table[c] for c in token): i for token, i in vocabulary.items()}
 
 
 def token_bytes_b(pieces: sentencepiece.SentencePieceProcessor) -> list[bytes]:
@@ -91,11 +95,11 @@ class Aligner:
     """Groups and links of texts; remembers the pieces it has seen."""
 
     def __init__(self, a: bytes, b: bytes):
-        self.a = Tokenizer.from_str(a.decode())
-        self.a.encode_special_tokens = True
+        ranks = ranks_a(a)
+        self.a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
-        self.space = [self.b.piece_to_id("▁")]  # B adds no space to an empty text
-        self.bytes_a, self.bytes_b = token_bytes_a(self.a), token_bytes_b(self.b)
+        self.space = self.b.piece_to_id("▁")
+        self.bytes_a, self.bytes_b = [raw for raw, _ in sorted(ranks.items(), key=lambda x: x[1])], token_bytes_b(self.b)
         self.lengths_a, self.lengths_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         self.forget()
 
@@ -106,22 +110,57 @@ class Aligner:
         self.counts = np.empty((0, 6), np.int64)
         self.begins, self.links = np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def _encode(self, pieces: list[bytes]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
-        """Ids of both sides for pieces that begin with a space; no ids where the joined bytes differ from the piece."""
-        texts = [p.decode() for p in pieces]
-        ids_a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
-        ids_b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        ids_b = [x if len(t) > 1 else self.space for x, t in zip(ids_b, texts, strict=True)]
-        lost = np.zeros(len(pieces), np.int64)
-        for i, raw in enumerate(pieces):
-            if b"".join([self.bytes_a[x] for x in ids_a[i]]) != raw or b"".join([self.bytes_b[x] for x in ids_b[i]]) != raw:
-                lost[i], ids_a[i], ids_b[i] = 1, [], []
-        return ids_a, ids_b, lost
+    def _encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of A, ids of B, how many each piece has of A and B); none where the joined bytes differ from the piece.
+
+        Pieces that don't end in white space are laid end to end and encoded as one text: they would be cut there anyhow.
+        """
+        plain = np.array([not SPACES[p[-1]] and not (not p.isascii() and WIDE_SPACE.search(p.decode())) for p in pieces])
+        together = [p for p, ok in zip(pieces, plain.tolist(), strict=True) if ok]
+        line = b"".join(together)
+        ends = np.cumsum([len(p) for p in together])
+        ids, counts = [], []
+        for encode, lengths, table in ((self._ids_a, self.lengths_a, self.bytes_a), (self._ids_b, self.lengths_b, self.bytes_b)):
+            joint = encode(line.decode()) if line else []
+            n = np.zeros(len(pieces), np.int64)
+            parts: list = [None] * len(pieces)
+            if line and b"".join([table[i] for i in joint]) == line:
+                joint = np.array(joint, np.int64)
+                edges = np.searchsorted(np.cumsum(lengths[joint]), ends) + 1
+                alone = np.flatnonzero(~plain)
+            else:
+                joint, edges, alone = np.empty(0, np.int64), np.zeros(len(together), np.int64), np.arange(len(pieces))
+            n[plain] = np.diff(edges, prepend=0)
+            for i in alone.tolist():
+                one = encode(pieces[i].decode())
+                parts[i] = one if b"".join([table[x] for x in one]) == pieces[i] else []
+                n[i] = len(parts[i]) or -1
+            if len(alone) and len(alone) < len(pieces):
+                at = np.append(0, edges)
+                places = iter(range(len(together)))
+                flat = [parts[i] if parts[i] is not None else joint[at[k := next(places)] : at[k + 1]] for i in range(len(pieces))]
+                joint = np.concatenate([np.asarray(x, np.int64) for x in flat])
+            elif len(alone):
+                joint = np.array([x for part in parts for x in part], np.int64)
+            ids.append(joint)
+            counts.append(n)
+        lost = (counts[0] < 0) | (counts[1] < 0)
+        for side in (0, 1):
+            counts[side] = np.maximum(counts[side], 0)
+            ids[side] = ids[side][np.repeat(~lost, counts[side])]
+            counts[side][lost] = 0
+        return *ids, *counts
+
+    def _ids_a(self, text: str) -> list[int]:
+        return self.a.encode_ordinary(text)
+
+    def _ids_b(self, text: str) -> list[int]:
+        """B adds the space that a text begins with, but not to an empty text."""
+        return self.b.encode(text[1:], num_threads=1) if len(text) > 1 else [self.space]
 
     def _learn(self, pieces: list[bytes]) -> None:
-        ids_a, ids_b, lost = self._encode(pieces)
-        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
-        a, b = (np.array([x for one in ids for x in one], np.int64) for ids in (ids_a, ids_b))
+        a, b, n_a, n_b = self._encode(pieces)
+        lost = (n_a == 0).astype(np.int64)
         ends_a, ends_b = _ends(a, self.lengths_a), _ends(b, self.lengths_b)
         starts_a, starts_b = ends_a - self.lengths_a[a], ends_b - self.lengths_b[b]
         side = np.repeat([0, 1], [len(a), len(b)])
@@ -222,6 +261,12 @@ class Aligner:
         return pa.RecordBatch.from_arrays(columns, names=["n_a", "n_b", "n_groups", "n_overlaps", "n_links", "groups", "links"])
 
 
+@lru_cache(maxsize=1)
+def aligner_of(a: bytes, b: bytes) -> Aligner:
+    """One aligner per worker, which outlives its tasks with the pieces it has seen."""
+    return Aligner(a, b)
+
+
 SCHEMA = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_overlaps bigint, n_links bigint, groups string, links array<bigint>"
 
 
@@ -242,7 +287,7 @@ def aligned(docs: DataFrame, vocabulary_a: str = VOCABULARY_A, vocabulary_b: str
     shared = docs.sparkSession.sparkContext.broadcast(files)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(*shared.value)
+        aligner = aligner_of(*shared.value)
         for batch in batches:
             for part in text_slices(batch.column(1), SLICE_BYTES):
                 rows = aligner.slice(part)

@@ -25,7 +25,9 @@ def whole():
     a = Tokenizer.from_file(align.VOCABULARY_A)
     a.encode_special_tokens = True
     b = sentencepiece.SentencePieceProcessor(model_file=align.VOCABULARY_B)
-    return a, b, align.token_bytes_a(a), align.token_bytes_b(b)
+    table = align.byte_of_character()
+    names = [a.id_to_token(i) for i in range(a.get_vocab_size())]
+    return a, b, [bytes(table[c] for c in t) for t in names], align.token_bytes_b(b)
 
 
 @pytest.fixture(scope="module")
