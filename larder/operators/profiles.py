@@ -153,3 +153,87 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     cells = [F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), F.col(f"c{i}").alias("corr")) for i, (a, b) in enumerate(pairs)]
     return row.select(F.explode(F.array(*cells)).alias("p")).select("p.*")
+
+
+def text_profile(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Per text column: rows, share of nulls, of empty and of blank texts, least, mean and largest length, distinct texts.
+
+    One aggregate over the rows as they are; the distinct texts are counted by 64-bit hash, combined before the shuffle. An
+    empty table gives no rows.
+    """
+    stats = []
+    for c in columns:
+        v = F.col(c).cast("string")
+        n = F.length(v)
+        stats.append(
+            F.struct(
+                F.lit(c).alias("column"), F.count(F.lit(1)).alias("rows"), F.avg(v.isNull().cast("double")).alias("nulls"),
+                F.avg((n == 0).cast("double")).alias("empty"), F.avg((F.trim(v) == "").cast("double")).alias("blank"),
+                F.min(n).cast("bigint").alias("shortest"), F.max(n).cast("bigint").alias("longest"), F.avg(n).alias("mean_length"),
+            )
+        )
+    found = df.agg(F.array(*stats).alias("a")).select(F.explode("a").alias("s")).select("s.*").where("rows > 0")
+    hashes = df.select(*[F.when(F.col(c).isNotNull(), F.xxhash64(F.col(c).cast("string"))).alias(c) for c in columns])
+    long = hashes.unpivot([], columns, "column", "hash").where("hash IS NOT NULL").distinct()
+    distinct = long.groupBy("column").agg(F.count(F.lit(1)).alias("distinct_values"))
+    return found.join(distinct, "column", "left").withColumn("distinct_values", F.coalesce("distinct_values", F.lit(0)))
+
+
+def time_profile(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Per timestamp column: rows, share of nulls, first and last, number of days with rows, and rows of the fullest day.
+
+    Rows are counted per column and day before the shuffle.
+    """
+    plain = df.select(*[F.col(c).cast("timestamp_ntz").alias(c) for c in columns])
+    long = plain.unpivot([], columns, "column", "value")
+    days = long.groupBy("column", F.to_date("value").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("first"), F.max("value").alias("last")
+    )
+    empty = F.col("day").isNull()
+    return days.groupBy("column").agg(
+        F.sum("n").alias("rows"), (F.sum(F.when(empty, F.col("n")).otherwise(0)) / F.sum("n")).alias("nulls"),
+        F.min("first").alias("first"), F.max("last").alias("last"), F.count("day").alias("days"),
+        F.max(F.when(~empty, F.col("n"))).alias("most_in_a_day"),
+    )
+
+
+#: Sketch entries for each value that may reach the share: the sketch's error is then a sixth of the share at most.
+TRACKED = 16
+
+
+def value_sketches(df: DataFrame, columns: list[str], share: float = 0.01) -> DataFrame:
+    """``(column, sketch)``: a mergeable sketch of the frequent values of each column, over 64-bit hashes of the values.
+
+    Sketches of parts of a table, such as days, can be stored and merged by ``merged_sketches``.
+    """
+    tracked = F.lit(int(TRACKED / share))
+    made = [
+        F.struct(F.lit(c).alias("column"), F.call_function("approx_top_k_accumulate", F.when(F.col(c).isNotNull(), F.xxhash64(c)), tracked).alias("sketch"))
+        for c in columns
+    ]
+    return df.agg(F.array(*made).alias("a")).select(F.explode("a").alias("s")).select("s.*")
+
+
+def merged_sketches(sketches: DataFrame, share: float = 0.01) -> DataFrame:
+    tracked = F.lit(int(TRACKED / share))
+    return sketches.groupBy("column").agg(F.call_function("approx_top_k_combine", "sketch", tracked).alias("sketch"))
+
+
+def heavy_values(df: DataFrame, columns: list[str], share: float = 0.01, sketches: DataFrame | None = None) -> DataFrame:
+    """``(column, value, n)``: all values that at least ``share`` of the rows hold, with their exact counts.
+
+    A first pass (or stored ``sketches`` of the same rows) names the candidates: every value of that share is among the
+    2 / share most frequent of a sketch of this size. A second pass counts only these, so no task and no shuffle ever holds a
+    count per distinct value, and long texts are moved only if they are frequent. Nulls are not values.
+    """
+    found = sketches if sketches is not None else value_sketches(df, columns, share)
+    top = found.select("column", F.call_function("approx_top_k_estimate", "sketch", F.lit(int(2 / share))).alias("top"))
+    named = {r["column"]: [x["item"] for x in r["top"] if x["item"] is not None] for r in top.collect()}
+    cells = []
+    for c in columns:
+        known = F.array(*[F.lit(h) for h in named.get(c, [])]).cast("array<bigint>")
+        hit = F.col(c).isNotNull() & F.array_contains(known, F.xxhash64(c))
+        cells.append(F.when(hit, F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))))
+    long = df.select(F.explode(F.array_compact(F.array(*cells))).alias("x")).select("x.*")
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") >= F.lit(share * df.count()))

@@ -172,6 +172,62 @@ def quality_sketch(t: Tables) -> DataFrame:
     )
 
 
+TEXTS = {"documents": ["text", "lang", "source"], "pages": ["url", "html"]}
+TIMES = {"lineitem": ["l_shipdate"], "events": ["ts"], "orders": ["o_orderdate"]}
+
+
+@query(
+    "text_profile",
+    " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", '{c}' AS "column", count(*) AS rows, round(avg(({c} IS NULL)::INT), 6) AS nulls, round(avg((length({c}) = 0)::INT), 6) AS empty,
+        round(avg((trim({c}, ' ') = '')::INT), 6) AS blank, min(length({c})) AS shortest, max(length({c})) AS longest, round(avg(length({c})), 6) AS mean_length,
+        count(DISTINCT {c}) AS distinct_values FROM {t}"""
+        for t, columns in TEXTS.items() for c in columns
+    ),
+)
+def text_profile(t: Tables) -> DataFrame:
+    """Lengths, empty shares and distinct numbers of the texts of documents and pages."""
+    parts = [rounded(profiles.text_profile(t(name), columns), []).select(F.lit(name).alias("table"), "*") for name, columns in TEXTS.items()]
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    "time_profile",
+    " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", '{c}' AS "column", sum(n)::BIGINT AS rows, round(sum(CASE WHEN d IS NULL THEN n ELSE 0 END) / sum(n), 6) AS nulls, strftime(min(lo), '%Y-%m-%d %H:%M:%S') AS "first", strftime(max(hi), '%Y-%m-%d %H:%M:%S') AS "last",
+        count(d) AS days, max(n) FILTER (d IS NOT NULL) AS most_in_a_day
+        FROM (SELECT {c}::DATE AS d, count(*) AS n, min({c})::TIMESTAMP AS lo, max({c})::TIMESTAMP AS hi FROM {t} GROUP BY 1)"""
+        for t, columns in TIMES.items() for c in columns
+    ),
+)
+def time_profile(t: Tables) -> DataFrame:
+    """Ranges and fullest days of three timestamp columns."""
+    out = None
+    for name, columns in TIMES.items():
+        part = rounded(profiles.time_profile(t(name), columns), []).select(F.lit(name).alias("table"), "*")
+        part = part.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("first", "last")})
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query(
+    "heavy_values",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", md5({c}) AS value_md5, count(*) AS n FROM documents WHERE {c} IS NOT NULL GROUP BY {c}
+        HAVING count(*) >= 0.005e0 * (SELECT count(*) FROM documents)"""
+        for c in TEXTS["documents"]
+    ),
+)
+def heavy_values(t: Tables) -> DataFrame:
+    """Languages, sources and whole texts that at least one document in two hundred has, from sketches merged over the sources."""
+    docs, columns = t("documents"), TEXTS["documents"]
+    share = 0.005
+    halves = [docs.where(F.col("lang") == "en"), docs.where(F.coalesce(F.col("lang") != "en", F.lit(True)))]
+    stored = materialise(profiles.value_sketches(halves[0], columns, share).unionByName(profiles.value_sketches(halves[1], columns, share)), "sketches")
+    found = profiles.heavy_values(docs, columns, share, profiles.merged_sketches(stored, share))
+    return found.select("column", F.md5("value").alias("value_md5"), "n")
+
+
 CORR = list(FEATURES)
 
 
