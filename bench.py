@@ -26,7 +26,7 @@ HEADLINE = [
 def main() -> None:
     root = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
     spark = local_session("bench", cpus)
 

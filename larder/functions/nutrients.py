@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder import dims
-from larder.functions.bind import let
+from larder.functions.bind import let, with_once
 from larder.functions.text import last_wins
 
 
@@ -35,6 +37,29 @@ def convert_units(nutrient: Column, from_unit: Column, to_unit: Column, raw: Col
     (IU and micrograms) use the ratio of the daily values; an empty unit means the nutrient's default unit. What
     cannot be converted keeps its value and unit with status ``failed``.
     """
+    named, factors, result = _conversion()
+    given = _given(nutrient, from_unit, to_unit, raw)
+    return let(let(let(given, named), factors), result)
+
+
+def with_converted(df: DataFrame, name: str, nutrient: Column, from_unit: Column, to_unit: Column, raw: Column) -> DataFrame:
+    """Adds ``name``: ``convert_units`` of columns of ``df``, step by step as columns, so that generated code evaluates it."""
+    named, factors, result = _conversion()
+    steps = with_once(df, "_given", _given(nutrient, from_unit, to_unit, raw))
+    steps = with_once(steps, "_named", named(F.col("_given"))).drop("_given")
+    steps = with_once(steps, "_factors", factors(F.col("_named"))).drop("_named")
+    return with_once(steps, name, result(F.col("_factors"))).drop("_factors")
+
+
+def _given(nutrient: Column, from_unit: Column, to_unit: Column, raw: Column) -> Column:
+    return F.struct(
+        nutrient.alias("nutrient"), _or_empty(from_unit).alias("unit"), _or_empty(to_unit).alias("target"),
+        raw.cast("string").alias("raw"),
+    )
+
+
+def _conversion() -> tuple[Callable[[Column], Column], Callable[[Column], Column], Callable[[Column], Column]]:
+    """The steps of a conversion: units named, factors looked up, amount converted."""
     daily, default, scale = dims.daily_value_map(), dims.default_unit_map(), dims.literal_map(dims.UNIT_SCALE)
 
     def named(x: Column) -> Column:
@@ -70,11 +95,7 @@ def convert_units(nutrient: Column, from_unit: Column, to_unit: Column, raw: Col
             .otherwise(_converted(x["value"], x["source"], "failed"))
         )
 
-    given = F.struct(
-        nutrient.alias("nutrient"), _or_empty(from_unit).alias("unit"), _or_empty(to_unit).alias("target"),
-        raw.cast("string").alias("raw"),
-    )
-    return let(let(let(given, named), factors), result)
+    return named, factors, result
 
 
 def _converted(amount: Column, unit: Column, status: str) -> Column:

@@ -41,7 +41,8 @@ def repair_sql(line: str) -> str:
 @query("repair_lines", f"""WITH {DOC_LINES} SELECT doc_id, md5({repair_sql('"value"')}) AS repaired, length({repair_sql('"value"')}) AS n FROM lines_in""")
 def repair_lines(t: Tables) -> DataFrame:
     """Repair of the whole texts as JSON lines; the result is compared by digest and length."""
-    fixed = with_once(views.document_lines(t), "fixed", txt.repair_json_line("value"))
+    # the given file is one row group; dealt out by the key, its lines are repaired by all tasks
+    fixed = with_once(views.document_lines(t).repartition("doc_id"), "fixed", txt.repair_json_line("value"))
     return fixed.select("doc_id", F.md5("fixed").alias("repaired"), F.length("fixed").cast("bigint").alias("n"))
 
 
@@ -286,6 +287,12 @@ done AS (
     WHEN src = 'percent' AND dt IS NOT NULL THEN 'converted' WHEN dt IS NOT NULL AND ds IS NOT NULL THEN 'converted' ELSE 'failed' END AS status FROM joined)"""
 
 
+def micrograms(t: Tables) -> DataFrame:
+    """The amounts with ``c``, what they are in micrograms."""
+    amount = F.col("amount").cast("string")
+    return nut.with_converted(measures(t), "c", F.col("nutrient"), F.col("unit"), F.lit("mcg"), amount)
+
+
 @query(
     "convert_units",
     f"""WITH {CONVERT} SELECT l_orderkey, l_linenumber, nutrient, status,
@@ -295,10 +302,7 @@ done AS (
 )
 def convert_units(t: Tables) -> DataFrame:
     """Every amount to micrograms: mass scale, percent of the daily value, ratio of daily values, or failed."""
-    rows = measures(t).withColumn(
-        "c", nut.convert_units(F.col("nutrient"), F.col("unit"), F.lit("mcg"), F.col("amount").cast("string"))
-    )
-    return rows.select(
+    return micrograms(t).select(
         "l_orderkey", "l_linenumber", "nutrient", "c.status", "c.unit_name", F.round("c.amount", 6).alias("amount")
     )
 
@@ -306,10 +310,7 @@ def convert_units(t: Tables) -> DataFrame:
 @query("conversion_audit", f"WITH {CONVERT} SELECT nutrient, src AS unit_name, count(*) AS docs FROM done WHERE status = 'failed' GROUP BY ALL")
 def conversion_audit(t: Tables) -> DataFrame:
     """Amounts whose conversion failed, by nutrient and unit."""
-    rows = measures(t).select(
-        "nutrient", nut.convert_units(F.col("nutrient"), F.col("unit"), F.lit("mcg"), F.col("amount").cast("string")).alias("c")
-    )
-    return rows.where("c.status = 'failed'").groupBy("nutrient", "c.unit_name").agg(F.count(F.lit(1)).alias("docs"))
+    return micrograms(t).where("c.status = 'failed'").groupBy("nutrient", "c.unit_name").agg(F.count(F.lit(1)).alias("docs"))
 
 
 @query(
@@ -449,7 +450,8 @@ def append_null_keys(t: Tables) -> DataFrame:
     f"SELECT token, count(*) AS uses, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{WORD}')) AS token FROM documents) GROUP BY token",
 )
 def token_counts(t: Tables) -> DataFrame:
-    rows = cat.token_rows(t("documents"), "doc_id", "text")
+    # dealt out by the key first: moving a text costs less than finding its tokens, and (doc_id, token) needs no exchange then
+    rows = cat.token_rows(t("documents").repartition("doc_id"), "doc_id", "text")
     return rows.groupBy("token").agg(F.sum("n").alias("uses"), F.count(F.lit(1)).alias("docs"))
 
 
