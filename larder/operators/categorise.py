@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.text import tokens
@@ -15,31 +15,11 @@ from larder.session import materialise
 #: Categories compared in one scan of the documents.
 CATEGORY_BLOCK = 512
 
-# A short default; pass a (category, keyword) table for a full lexicon.
-DEFAULT_LEXICON = {
-    "fruits": "apple banana cherry grapes lemon mango orange peach pear pineapple plum",
-    "vegetables": "artichoke broccoli cabbage carrot cassava celery kale lettuce onion potato spinach tomato yuca",
-    "nuts": "almond cashew hazelnut macadamia peanut pecan pistachio walnut",
-    "seeds": "caraway chia flax hemp poppy sesame sunflower",
-    "berries": "blackberry blueberry cranberry elderberry gooseberry raspberry strawberry",
-    "beans": "chickpeas edamame fava kidney lentils lima mung navy pinto soybean",
-    "mushrooms": "chanterelle enoki maitake morel oyster porcini portobello shiitake",
-    "peppers": "anaheim cayenne chipotle habanero jalapeno poblano serrano",
-    "squash": "acorn butternut cushaw delicata hubbard kabocha pumpkin",
-    "grains": "amaranth barley buckwheat corn millet oats quinoa rye sorghum spelt teff",
-    "wheat": "bulgur durum farina farro kamut khorasan semolina",
-    "rice": "arborio basmati brown calrose jasmine parboiled sushi wild",
-    "melons": "cantaloupe casaba galia honeydew kiwano watermelon",
-    "seaweeds": "agar arame dulse hijiki kelp kombu nori wakame",
-    "oils": "avocado canola coconut olive peanut rapeseed",
-    "herbs": "basil cardamom cilantro cinnamon cumin dill mint oregano paprika thyme turmeric",
-    "foodstock": "bread butter cheese chicken cream eggs flour honey milk pasta salt sauce sugar yogurt",
-}
-
-
-def default_lexicon(spark: SparkSession) -> DataFrame:
-    rows = [(c, w) for c, words in DEFAULT_LEXICON.items() for w in words.split()]
-    return spark.createDataFrame(rows, "category string, keyword string")
+
+def category_lexicon(rows: DataFrame, category: str, text: str) -> DataFrame:
+    """``(category, keyword)``: the distinct tokens of the texts of each category; rows without a category are left out."""
+    words = rows.where(F.col(category).isNotNull()).select(F.col(category).alias("category"), F.explode(tokens(F.col(text))).alias("keyword"))
+    return words.distinct()
 
 
 def token_rows(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -13,6 +13,7 @@ from larder.functions.scoring import score_recipes, superfood_bonus
 from larder.functions.vectors import cosine
 from larder.operators import categorise as cat
 from larder.operators import embed as emb
+from larder.operators import phrases
 from larder.operators.filters import nonblank
 from larder.operators.joins import concat_sets, keys_not_found
 from larder.plans import views
@@ -455,6 +456,41 @@ def token_counts(t: Tables) -> DataFrame:
     return rows.groupBy("token").agg(F.sum("n").alias("uses"), F.count(F.lit(1)).alias("docs"))
 
 
+#: Phrases of one and two words: how the documents begin.
+PHRASES = f"""w AS (SELECT doc_id, regexp_extract_all(lower(text), '{WORD}') AS t FROM documents),
+lex AS (SELECT t[1] AS phrase FROM w WHERE len(t) >= 1 UNION SELECT t[1] || ' ' || t[2] FROM w WHERE len(t) >= 2),
+grams AS (SELECT doc_id, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS phrase FROM w),
+hits AS (SELECT doc_id, phrase, count(*) AS n FROM grams WHERE phrase IN (SELECT phrase FROM lex) GROUP BY ALL)"""
+
+
+def beginnings(t: Tables) -> DataFrame:
+    """The first word and the first two words of every document."""
+    words = with_once(t("documents").select("text"), "w", txt.tokens("text")).where(F.size("w") > 0)
+    return words.select(F.explode(F.array(F.get("w", F.lit(0)), F.concat_ws(" ", F.slice("w", 1, 2)))).alias("phrase"))
+
+
+@query("phrase_hits", f"WITH {PHRASES} SELECT phrase, sum(n)::BIGINT AS uses, count(*) AS docs FROM hits GROUP BY phrase")
+def phrase_hits(t: Tables) -> DataFrame:
+    """Where else the beginnings of the documents stand in all texts."""
+    hits = phrases.phrase_hits(t("documents"), "doc_id", "text", beginnings(t))
+    return hits.groupBy("phrase").agg(F.sum("n").alias("uses"), F.count(F.lit(1)).alias("docs"))
+
+
+@query(
+    "phrase_bonus",
+    f"WITH {PHRASES} SELECT d.doc_id, round(coalesce(n, 0) * 0.2e0, 6) AS bonus FROM documents d LEFT JOIN (SELECT doc_id, sum(n) AS n FROM hits GROUP BY doc_id) h ON h.doc_id = d.doc_id",
+)
+def phrase_bonus(t: Tables) -> DataFrame:
+    """Bonus of every document by a lexicon of thousands of phrases."""
+    return phrases.phrase_bonus(t("documents"), "doc_id", "text", beginnings(t)).select("doc_id", F.round("bonus", 6).alias("bonus"))
+
+
+@query("category_lexicon", f"SELECT DISTINCT p_type AS category, unnest(regexp_extract_all(lower(p_name), '{WORD}')) AS keyword FROM part")
+def category_lexicon(t: Tables) -> DataFrame:
+    """Keywords of every part type."""
+    return cat.category_lexicon(t("part"), "p_type", "p_name")
+
+
 @query(
     "superfood_bonus",
     f"SELECT doc_id, round(len(list_filter(regexp_extract_all(lower(text), '{WORD}'), lambda w: w IN ('the', 'and', 'les'))) * 0.2e0, 6) AS bonus FROM documents",
