@@ -33,7 +33,7 @@ BLOCK_WORDS = 1_000_000
 class TestBlock:
     """A block of benchmark items as word codes: ``codes`` of all items end to end, ``bounds`` per item."""
 
-    ids: list[str]
+    ids: list[str | None]
     vocabulary: np.ndarray  # sorted word hashes; the code of a word is its index plus one
     codes: np.ndarray
     bounds: np.ndarray
@@ -43,7 +43,7 @@ class TestBlock:
         return int(np.diff(self.bounds).max(initial=0))
 
 
-def test_block(ids: list[str], texts: list[str]) -> TestBlock:
+def test_block(ids: list[str | None], texts: list[str]) -> TestBlock:
     hashes, bounds = [], [0]
     for part in text_slices(pa.array(texts, pa.string())):
         words = find_words(part, ALNUM)
@@ -54,15 +54,18 @@ def test_block(ids: list[str], texts: list[str]) -> TestBlock:
     return TestBlock(ids, vocabulary, np.searchsorted(vocabulary, flat) + 1, np.array(bounds, np.int64))
 
 
-def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", limit: int = BLOCK_WORDS):
-    """The items in blocks of at most ``limit`` words (one longer item makes its own block), read one block at a time."""
+def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", limit: int | None = None):
+    """The items in blocks of at most ``limit`` words (one longer item makes its own block), read one block at a time.
+
+    Words are those of the search. Items without an id are items like others.
+    """
     size = 0
-    ids: list[str] = []
+    ids: list[str | None] = []
     texts: list[str] = []
     rows = benchmark.select(F.col(id_col).cast("string").alias("i"), F.coalesce(text_col, F.lit("")).alias("t"))
-    for row in rows.where(F.col("i").isNotNull()).dropDuplicates().orderBy("i", "t").toLocalIterator():
-        n = len(row["t"].split()) + 1
-        if ids and size + n > limit:
+    for row in rows.dropDuplicates().orderBy("i", "t").toLocalIterator():
+        n = 1 + sum(len(find_words(part, ALNUM).starts) for part in text_slices(pa.array([row["t"]], pa.string())))
+        if ids and size + n > (limit or BLOCK_WORDS):
             yield test_block(ids, texts)
             ids, texts, size = [], [], 0
         ids.append(row["i"])
@@ -180,6 +183,11 @@ def scan_shard(part, words, block: TestBlock, window: int, every: bool = False):
     return covered, doc, item, (place - doc - words.bounds[doc], begins[suffix], size)
 
 
+def named(items: set[str | None]) -> list[str]:
+    """The ids of a set of items, sorted; an item without one has no name."""
+    return sorted(x for x in items if x is not None)
+
+
 def _search_all(docs: DataFrame, text: str, benchmark: DataFrame, window: int, finish, schema) -> DataFrame:
     """Scan ``docs`` once per block of items, then ``finish(columns, part, words, hit, items)`` makes the result rows.
 
@@ -218,7 +226,7 @@ def _search_all(docs: DataFrame, text: str, benchmark: DataFrame, window: int, f
                         yield finish(columns[:-3], part, words, hit, items)
                     else:
                         masks = [np.packbits(hit[a:b]).tobytes() for a, b in zip(words.bounds, words.bounds[1:])]
-                        columns[-2:] = [pa.array(masks, pa.binary()), pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
+                        columns[-2:] = [pa.array(masks, pa.binary()), pa.array([[*named(x), *({None} & x)] for x in items], pa.list_(pa.string()))]
                         yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
         return frame.mapInArrow(run, schema if last else between)
@@ -235,15 +243,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     """One row per document: its id, n_words, n_hit, n_items, items_sha256 and contaminated.
 
     Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z. A null or empty text has no words; repeated
-    rows each get their row; a null id stays null; items without words or with a null id match nothing; items that share
-    an id count as one. Other columns of ``docs`` are ignored, whatever their names. One block of items takes one scan
+    rows each get their row; a null id stays null; items without words match nothing; items that share an id count as one,
+    and so do those without an id, which mark words and count but have no name in ``items_sha256``. Other columns of ``docs`` are ignored, whatever their names. One block of items takes one scan
     without a shuffle; each further block adds a scan.
     """
     schema = "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
 
     def finish(columns, part, words, hit, items):
         n_hit = np.diff(np.concatenate([[0], np.cumsum(hit)])[words.bounds])
-        names = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items]
+        names = [hashlib.sha256(",".join(named(x)).encode()).hexdigest() for x in items]
         values = [pa.array(words.counts()), pa.array(n_hit), pa.array([len(x) for x in items], pa.int64()), pa.array(names)]
         return pa.RecordBatch.from_arrays(
             [columns[0], *values, pa.array(n_hit > 0)],
@@ -255,7 +263,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without an occurrence of a benchmark window, all columns unchanged."""
+    """The rows of ``docs`` without an occurrence of a benchmark window, all columns unchanged.
+
+    A null or empty text has no words and stays; repeated rows stay or go together; columns may have any names; an empty
+    benchmark keeps all rows, an empty table gives no rows. Items without an id count like others.
+    """
 
     def finish(columns, part, words, hit, items):
         n_hit = np.diff(np.concatenate([[0], np.cumsum(hit)])[words.bounds])

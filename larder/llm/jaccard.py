@@ -42,15 +42,27 @@ RARE = 32
 #: Tokens are hashes of 56 bits; the empty low byte costs nothing in a shuffle. Two texts of 10,000 tokens have a false
 #: common one with a chance of one in a billion.
 TOKEN_BITS = ~np.uint64(0xFF)
-#: Keys from here on stand for texts without an id: above every id, spread by the text's hash.
+#: Keys from here on stand for texts that their id doesn't name, spread by hash; an id among them is taken as it is.
 LOST = exchange.NO_ID - (1 << 52)
 #: Largest set whose frequent prefix tokens are indexed only as combinations of two.
 COMBINED = 300
 
 
-def search_key(ident: Column, text: Column) -> Column:
-    """The id or, without one, a key of the text itself: equal texts share it, different ones are searched apart."""
-    return F.coalesce(ident.cast("bigint"), F.lit(LOST) + F.xxhash64(text).bitwiseAND((1 << 52) - 1))
+def keyed(docs: DataFrame, id_col: str = "doc_id", row: bool = False) -> DataFrame:
+    """(doc_id, text, k), with all columns as ``row`` if asked for: ``k`` is one per id and text.
+
+    It is the id, or a hash of id and text for texts without an id and for those whose id another text has too (all but the
+    one with the least hash). Ids with several texts are found by one aggregate over ids and text hashes.
+    """
+    text = F.coalesce("text", F.lit(""))
+    own = [F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")] if row else []
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"), *own)
+    several = rows.groupBy("doc_id").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("doc_id IS NOT NULL AND low < high")
+    several = materialise(several.select(F.col("doc_id").alias("id"), "low"), "ids-of-several-texts")
+    placed = rows.join(several, F.col("doc_id") == F.col("id"), "left")
+    hashed = F.lit(LOST) + F.xxhash64("h", "doc_id").bitwiseAND((1 << 52) - 1)
+    k = F.when(F.col("doc_id").isNull() | (F.col("low") != F.col("h")), hashed).otherwise(F.col("doc_id"))
+    return placed.select("doc_id", "text", k.alias("k"), *(["row"] if row else []))
 
 
 def shingle_sets(part: Texts, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,7 +97,7 @@ def _signatures(keys: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     return [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
 
-def set_classes(docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id") -> DataFrame:
+def set_classes(keyed: DataFrame, size: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, k, rep): ``rep`` is the smallest key of the documents with the same non-empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,8 +110,7 @@ def set_classes(docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id") ->
                     names=["doc_id", "n_shingles", "k", "sig"],
                 )
 
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("t"), search_key(F.col(id_col), text).alias("k"))
+    rows = keyed.select("doc_id", "text", "k")
     signed = materialise(rows.mapInArrow(run, "doc_id bigint, n_shingles bigint, k bigint, sig binary"), "signatures")
     # written first, so that the join deals out both sides itself and can split a class with very many copies
     classes = materialise(signed.where("n_shingles > 0").groupBy("sig").agg(F.min("k").alias("rep")), "representatives")
@@ -121,7 +132,7 @@ def _send(ids: np.ndarray, keys: np.ndarray, bits: int) -> pa.RecordBatch:
     return exchange.sent_rows(np.where(many, offset, ids[first]), keys[first], offset, direct, bits)
 
 
-def shared_tokens(docs: DataFrame, bits: int, size: int = SHINGLE, id_col: str = "doc_id") -> DataFrame:
+def shared_tokens(keyed: DataFrame, bits: int, size: int = SHINGLE) -> DataFrame:
     """Packed (document, token) pairs whose token another document has too, by document group.
 
     Of the equal sets in a chunk only the smallest ids so far go on, which always include the class's representative.
@@ -161,9 +172,7 @@ def shared_tokens(docs: DataFrame, bits: int, size: int = SHINGLE, id_col: str =
         answer = (np.bincount(group) > 1)[group] & (ids != nothing)
         return exchange.answer_table(exchange.answers(ids[answer], keys[answer], bits))
 
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(search_key(F.col(id_col), text).alias("k"), text.alias("t"))
-    return rows.mapInArrow(send, exchange.SENT).groupBy("bucket").applyInArrow(merge, exchange.ANSWERS)
+    return keyed.select("k", "text").mapInArrow(send, exchange.SENT).groupBy("bucket").applyInArrow(merge, exchange.ANSWERS)
 
 
 def least_overlap(n: Column, percent: int) -> Column:
@@ -171,9 +180,9 @@ def least_overlap(n: Column, percent: int) -> Column:
     return F.floor((n * percent + 99) / 100).cast("bigint")
 
 
-def candidates(docs: DataFrame, classes: DataFrame, size: int, percent: int, id_col: str) -> DataFrame:
+def candidates(keyed: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """(k, n, list): class representatives that may have a link, with their shared tokens as (frequency, token), rare first."""
-    bits = exchange.bucket_bits(docs)
+    bits = exchange.bucket_bits(keyed)
     sizes = classes.where(F.col("k") == F.col("rep")).groupBy("k").agg(F.max("n_shingles").alias("n"))
     sizes = sizes.withColumn("g", exchange.group_of(F.col("k"), bits))
 
@@ -190,7 +199,7 @@ def candidates(docs: DataFrame, classes: DataFrame, size: int, percent: int, id_
         tokens = [keys[low[i] : high[i]].view(np.int64) for i in enough.tolist()]
         return pa.table([pa.array(k[enough]), pa.array(n[enough]), pa.array(tokens, pa.list_(pa.int64()))], names=["k", "n", "tokens"])
 
-    packed = shared_tokens(docs, bits, size, id_col)
+    packed = shared_tokens(keyed, bits, size)
     some = sizes.groupBy("g").cogroup(packed.groupBy("g")).applyInArrow(collect, "k bigint, n bigint, tokens array<bigint>")
     some = materialise(some, "shared-tokens")
     rows = some.select("k", F.explode("tokens").alias("t"))
@@ -251,19 +260,40 @@ def links(sets: DataFrame, percent: int = PERCENT, rare: int = RARE, combined: i
     return components(first.unionByName(second))
 
 
+def placed_documents(keyed: DataFrame, size: int, percent: int, rare: int, combined: int) -> DataFrame:
+    """(doc_id, k, n_shingles, component_id, first): component and the key that stands for it, per row of ``keyed``.
+
+    The first is that of the smallest id, null ones last.
+    """
+    classes = set_classes(keyed, size)
+    found = links(candidates(keyed, classes, size, percent), percent, rare, combined)
+    joined = classes.join(found, classes["rep"] == found["node"], "left")
+    root = F.coalesce("component", "rep", "k")
+    joined = materialise(joined.select("doc_id", "n_shingles", "k", root.alias("root")), "roots")
+    least = joined.groupBy(F.col("root").alias("of")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", "k")).alias("first"))
+    least = materialise(least, "components")
+    return joined.join(least, F.col("root") == F.col("of")).select("doc_id", "k", "n_shingles", F.col("first.doc_id").alias("component_id"), F.col("first.k").alias("first"))
+
+
 def near_duplicates(
     docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, rare: int = RARE, combined: int = COMBINED, id_col: str = "doc_id"
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
     Words are `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z. A null or empty text has an empty set and links with nothing.
-    A null id counts as larger than every id (ids from LOST on are taken for null ones); its component is the smallest id
-    it reaches, or null; different texts without an id are different documents. Rows with the same id
-    and the same text are one document, each with its row; an id must not stand for two different texts (their sets are
-    then mixed in the search for links to other texts). Other columns are ignored, whatever their names.
+    A document is an id with a text: rows that share both are one document, each with its row; different texts of one id,
+    or without an id, are different documents. The component of a document is the smallest id it reaches, null if none of
+    them has one. Other columns are ignored, whatever their names; an empty table gives no rows.
     """
-    classes = set_classes(docs, size, id_col)
-    found = links(candidates(docs, classes, size, percent, id_col), percent, rare, combined)
-    joined = classes.join(found, classes["rep"] == found["node"], "left")
-    smallest = F.coalesce("component", "rep", "k")
-    return joined.select("doc_id", "n_shingles", F.when(smallest < LOST, smallest).alias("component_id"))
+    found = placed_documents(keyed(docs, id_col), size, percent, rare, combined)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def first_documents(docs: DataFrame, size: int, percent: int, id_col: str = "doc_id") -> DataFrame:
+    """One row of each component of ``near_duplicates``, all columns unchanged: that of the smallest id, null ones last.
+
+    Of rows that share id and text one stays.
+    """
+    rows = keyed(docs, id_col, row=True)
+    found = placed_documents(rows, size, percent, RARE, COMBINED).where("k = first").select("k").distinct()
+    return rows.join(found, "k", "left_semi").dropDuplicates(["k"]).select("row.*")

@@ -4,6 +4,8 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from larder.llm import decontaminate, exchange, graph, jaccard, repeats
 
 from .conftest import LOWER, alnum, invented, not_space
@@ -97,6 +99,24 @@ def test_random_groups(spark):
         assert same(jaccard.near_duplicates(df, rare=rare, combined=combined).collect(), want)
 
 
+def test_texts_that_share_an_id(spark):
+    """Different texts of one id have their own links; a component takes the smallest id of its members."""
+    rng = random.Random(8)
+    a, b, c = (invented(rng, 100, 50_000) for _ in range(3))
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (1, a), (7, c), (7, c + " more"), (None, c + " other"), (8, ""), (8, "x")]
+    df = spark.createDataFrame([(*r, "k", 1, "h") for r in rows], "doc_id bigint, text string, k string, row int, h string").repartition(3)
+    got = jaccard.near_duplicates(df).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in got), key=str) == sorted(
+        [(1, 1), (1, 1), (2, 1), (3, 1), (1, 1), (7, 7), (7, 7), (None, 7), (8, 8), (8, 8)], key=str
+    )
+    kept = jaccard.first_documents(df, 4, 85)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) in (
+        sorted([(1, a), (1, b), (7, t), (8, ""), (8, "x")]) for t in (c, c + " more")
+    )
+    assert jaccard.first_documents(df.limit(0), 4, 85).collect() == []
+
+
 def test_different_texts_without_id(spark):
     """Each text without an id keeps its own links, whatever other such texts there are."""
     rng = random.Random(21)
@@ -153,8 +173,8 @@ def brute_hits(plain, items, k=10):
     windows = defaultdict(set)
     for i, t in items:
         w = alnum(t)
-        for j in range(max(1, len(w) - k + 1)) if w and i is not None else ():
-            windows[tuple(w[j : j + k])].add(str(i))
+        for j in range(max(1, len(w) - k + 1)) if w else ():
+            windows[tuple(w[j : j + k])].add(None if i is None else str(i))
     out = []
     for d, t in plain:
         w = alnum(t)
@@ -164,7 +184,7 @@ def brute_hits(plain, items, k=10):
                 if (x := tuple(w[j : j + n])) in windows:
                     found |= windows[x]
                     hit[j : j + n] = [1] * n
-        out.append((d, len(w), sum(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), sum(hit) > 0))
+        out.append((d, len(w), sum(hit), len(found), hashlib.sha256(",".join(sorted(x for x in found if x is not None)).encode()).hexdigest(), sum(hit) > 0))
     return out
 
 
@@ -210,3 +230,23 @@ def test_empty_tables(spark, docs, empty):
     assert repeats.remove_repeats(empty).collect() == []
     assert decontaminate.contamination(empty, items).collect() == []
     assert not any(r.contaminated for r in decontaminate.contamination(docs, items).collect())
+
+
+def test_items_without_an_id(spark):
+    """A benchmark item without an id is searched like others; only its name is missing. Words are those of the search."""
+    rng = random.Random(4)
+    a, b = (invented(rng, 14, 50_000) for _ in range(2))
+    docs = spark.createDataFrame([(1, a), (2, "x " + b), (3, a + " " + b), (4, "clean words")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(None, a), (None, a), (9, b)], "item_id bigint, text string")
+    sha = [hashlib.sha256(x.encode()).hexdigest() for x in ("", "9")]
+    want = {1: (14, 1, sha[0]), 2: (14, 1, sha[1]), 3: (28, 2, sha[1]), 4: (0, 0, sha[0])}
+    for limit in (decontaminate.BLOCK_WORDS, 10):
+        decontaminate.BLOCK_WORDS, kept = limit, decontaminate.BLOCK_WORDS
+        try:
+            got = decontaminate.contamination(docs, items).collect()
+            assert {r.doc_id: (r.n_hit, r.n_items, r.items_sha256) for r in got} == want
+        finally:
+            decontaminate.BLOCK_WORDS = kept
+    assert [r.doc_id for r in decontaminate.clean_documents(docs, items).collect()] == [4]
+    joined = spark.createDataFrame([("i", "-".join(str(i) for i in range(50)))], "item_id string, text string")
+    assert [b.bounds.tolist() for b in decontaminate.blocks(joined.unionByName(joined.withColumn("item_id", F.lit("j"))), limit=60)] == [[0, 50]] * 2
