@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from larder.functions.bind import let
 from larder.operators.ranks import number_rows
+from larder.session import materialise
 
 #: Levels per dimension as a power of two; three dimensions make 32,768 cells, the size of the broadcast curve table.
 BITS = 5
@@ -22,10 +23,16 @@ SHARDS = 40
 MAX_CELLS = 1 << 18
 
 
-def text_order(value: Column) -> Column:
-    """A number that orders texts by their first 7 bytes; null comes first."""
-    head = F.rpad(F.hex(F.substring(F.encode(F.coalesce(value, F.lit("")), "UTF-8"), 1, 7)), 14, "0")
-    return F.conv(head, 16, 10).cast("bigint")
+def with_codes(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Adds for each text column its code: the place of the whole value among the column's sorted values; null comes first.
+
+    The distinct values are numbered by one range sort and stored, so the planner knows whether they can be broadcast.
+    """
+    for column, name in columns.items():
+        values = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        codes = materialise(number_rows(values, [F.asc_nulls_first("value")], name).select("value", name), "codes")
+        df = df.join(codes, F.col(column).eqNullSafe(codes["value"])).drop("value")
+    return df
 
 
 def levels(df: DataFrame, dims: Sequence[str], bits: int = BITS) -> dict[str, Column]:
@@ -109,7 +116,10 @@ def curve(df: DataFrame, n: int, bits: int = BITS) -> DataFrame:
 
 
 def hilbert_order(df: DataFrame, dims: Sequence[str], bits: int = BITS) -> DataFrame:
-    """Adds ``h``, the Hilbert index of the row's cell in the numeric columns ``dims``."""
+    """Adds ``h``, the Hilbert index of the row's cell in the numeric columns ``dims``.
+
+    Null is the lowest level; equal rows have equal indexes; an empty table gives no rows; a column ``cell`` is replaced.
+    """
     found = levels(df, dims, bits)
     cell = F.lit(0).cast("bigint")
     for d in dims:
@@ -131,10 +141,11 @@ def shards(docs: DataFrame, n: int = SHARDS, bits: int = BITS) -> DataFrame:
         F.col("doc_id").cast("bigint").alias("doc_id"),
         (F.octet_length(text) + 16).cast("bigint").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        text_order(F.col("lang")).alias("d_lang"),
-        text_order(F.col("source")).alias("d_source"),
+        F.col("lang").cast("string").alias("lang"),
+        F.col("source").cast("string").alias("source"),
         F.length(text).cast("bigint").alias("d_length"),
     )
+    rows = with_codes(rows, {"lang": "d_lang", "source": "d_source"})
     placed = hilbert_order(rows, ["d_lang", "d_source", "d_length"], bits)
     placed = number_rows(placed.select("doc_id", "size", "text_crc32", "h"), [F.col(c) for c in ("h", "text_crc32", "doc_id")])
     total = max(1, placed.count())
@@ -149,11 +160,11 @@ def shards(docs: DataFrame, n: int = SHARDS, bits: int = BITS) -> DataFrame:
 def write_shards(docs: DataFrame, path: str, n: int = SHARDS, bits: int = BITS) -> None:
     """Write all columns of ``docs`` as Parquet, one folder per shard, in curve order inside each file.
 
-    Rows that share an id go to the smallest of their shards.
+    Rows that share an id, repeated or without one, go to the smallest of their shards. The shard is the column ``shard_``,
+    which the table itself must not have; an empty table writes no shard.
     """
-    ident = docs["doc_id"].cast("bigint")
-    places = shards(docs, n, bits).groupBy("doc_id").agg(F.min(F.struct("shard", "slot")).alias("at"))
-    places = places.select(F.col("doc_id").alias("place_id"), F.col("at.shard").alias("shard_"), F.col("at.slot").alias("slot_"))
-    joined = docs.join(places, ident.eqNullSafe(places["place_id"])).drop("place_id")
-    ordered = joined.repartition(n, "shard_").sortWithinPartitions("shard_", "slot_").drop("slot_")
+    places = shards(docs, n, bits).groupBy("doc_id").agg(F.min(F.struct("shard", "slot")).alias("at")).withColumnRenamed("doc_id", "id")
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["doc_id"].cast("bigint").alias("own"))
+    joined = rows.join(places, F.col("own").eqNullSafe(F.col("id"))).select("row", "at", F.col("at.shard").alias("shard_"))
+    ordered = joined.repartition(n, "shard_").sortWithinPartitions("shard_", "at").select("row.*", "shard_")
     ordered.write.partitionBy("shard_").parquet(path)

@@ -24,8 +24,6 @@ from larder.session import materialise
 BLOCK_ROWS = 8
 #: Shares that the default weights are rounded to.
 SHARES = 100
-#: Largest number of sources, unless a caller allows any number.
-MAX_SOURCES = 500
 
 
 def balanced_shares(counts: DataFrame, power: float = 0.5, shares: int = SHARES) -> DataFrame:
@@ -104,20 +102,18 @@ def _same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
-def mixed(docs: DataFrame, targets: DataFrame | None = None, block_rows: int = BLOCK_ROWS, any_number: bool = False) -> DataFrame:
+def mixed(docs: DataFrame, targets: DataFrame | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per document: doc_id, source, block, offset, phase, weight, release, deadline, slot.
 
     ``targets`` has (source, share) with positive whole shares; a source without one has one share, and without
     ``targets`` the shares follow ``balanced_shares``. ``slot`` orders the blocks and ``offset`` the documents of a block;
     the last block of a source may be short. release <= slot < deadline always holds. A null source is a source of its
-    own; null ids come first within a source, repeated rows each get their place; other columns are ignored. With
-    ``any_number`` there may be any number of sources; without it more than MAX_SOURCES of them raise an error.
+    own; null ids come first within a source, repeated rows each get their place; other columns are ignored; an empty table
+    gives no rows. There may be any number of sources.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"))
     rows = number_rows(rows, [F.col("source"), F.xxhash64("doc_id"), F.col("doc_id")])
     counts = materialise(rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.min("rn").alias("from_")), "mix-counts")
-    if not any_number and counts.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: allow any number, or group the small ones")
     if targets is None:
         shares = balanced_shares(counts)
     else:
@@ -155,10 +151,12 @@ def mixed(docs: DataFrame, targets: DataFrame | None = None, block_rows: int = B
 def interleave(docs: DataFrame, targets: DataFrame | None = None, block_rows: int = BLOCK_ROWS, files: int | None = None) -> DataFrame:
     """All rows and columns of ``docs`` in mixed order: sorted over the partitions, so files in name order hold the mix.
 
-    Rows that share an id stand together.
+    Rows that share an id stand together, repeated rows and those with a null id too; columns may have any names; an empty
+    table gives no rows.
     """
-    places = mixed(docs, targets, block_rows, any_number=True).groupBy("doc_id").agg(F.min(F.struct("slot", "offset")).alias("place_"))
-    places = places.withColumnRenamed("doc_id", "place_id_")
-    joined = docs.join(places, docs["doc_id"].cast("bigint").eqNullSafe(places["place_id_"]))
+    places = mixed(docs, targets, block_rows).groupBy("doc_id").agg(F.min(F.struct("slot", "offset")).alias("place"))
+    places = places.withColumnRenamed("doc_id", "id")
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["doc_id"].cast("bigint").alias("own"))
+    joined = rows.join(places, F.col("own").eqNullSafe(F.col("id"))).select("row", "place")
     n = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return joined.repartitionByRange(n, "place_").sortWithinPartitions("place_").drop("place_", "place_id_")
+    return joined.repartitionByRange(n, "place").sortWithinPartitions("place").select("row.*")

@@ -22,7 +22,9 @@ def test_stages(spark):
             assert frames[-1].columns == docs.columns
     _, good, distinct, clean, mixed, packed = frames
     assert docs.count() > good.count() > distinct.count() > clean.count() == mixed.count() > 100
-    groups = {r.component_id for r in jaccard.near_duplicates(good).collect()}
+    near = corpus_pipeline.NEAR_SHINGLE, corpus_pipeline.NEAR_PERCENT
+    groups = {r.component_id for r in jaccard.near_duplicates(good, *near).collect()}
+    assert groups == {c for _, _, c in brute_components([(r.doc_id, r.text) for r in good.collect()], *near)}
     assert {r.doc_id for r in distinct.collect()} == groups
     bad = {r.doc_id for r in decontaminate.contamination(distinct, bench).where("contaminated").collect()}
     assert bad and {r.doc_id for r in clean.collect()} == groups - bad
@@ -34,13 +36,29 @@ def test_stages(spark):
 def test_run_and_registry(spark):
     rows = corpus_pipeline.run(spark, ROOT)
     assert rows.count() > 0 and corpus_pipeline.ORACLE_SQL is None
-    assert len(queries.QUERIES) == 10 and all(any(n.startswith(f"op{i}_") for n in queries.QUERIES) for i in range(1, 11))
+    assert len(queries.QUERIES) == 13 and all(any(n.startswith(f"op{i}_") for n in queries.QUERIES) for i in range(1, 14))
 
 
 def test_repeated_and_null_ids(spark, docs):
+    """A repeated row goes; so does a text without an id that copies another; texts are never mixed."""
     out = corpus_pipeline.distinct_documents(spark, docs, "")
     ids = Counter(r.doc_id for r in out.collect())
-    assert max(n for d, n in ids.items() if d is not None) == 1 and ids[None] == 1
+    assert max(ids.values()) == 1 and None not in ids and out.columns == docs.columns
+    rng = random.Random(2)
+    a, b = (invented(rng, 60, 50_000) for _ in range(2))
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " x"), (None, invented(rng, 30, 50_000))]
+    kept = corpus_pipeline.distinct_documents(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "").collect()
+    assert len(kept) == 3 and {(1, a), (1, b)} <= {(r.doc_id, r.text) for r in kept}
+
+
+def test_empty_tables(spark, docs, tmp_path):
+    """Empty documents, labels and benchmark go through every stage."""
+    tables = {name: spark.read.parquet(f"{ROOT}/{name}.parquet") for name in ("documents", "labels", "benchmark")}
+    for name, df in tables.items():
+        df.limit(0).write.parquet(f"{tmp_path}/none/{name}.parquet")
+        (df.limit(0) if name != "documents" else df.limit(40)).write.parquet(f"{tmp_path}/some/{name}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
+    assert corpus_pipeline.run(spark, f"{tmp_path}/some").count() > 0
 
 
 def test_near_copies_of_the_stage(spark):
