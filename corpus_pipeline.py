@@ -16,30 +16,39 @@ ORACLE_SQL = None
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression classifier, trained on the labelled ones among them, doesn't reject."""
+    """Documents that the compression classifier, trained on the labelled ones among them, doesn't reject.
+
+    A null or empty text is scored like others. Repeated rows, ties of the score and rows without an id are kept or go by
+    their text alone. Without labels every score is one half, so all rows stay; an empty table gives no rows.
+    """
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.keep_good(docs, model, REJECT_BELOW)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the document with the smallest id, once; rows without an id all stay."""
-    found = jaccard.near_duplicates(docs, NEAR_SHINGLE, NEAR_PERCENT).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).join(found, "doc_id", "left_semi")
-    return named.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    """Of each component of near duplicates one row: that of the smallest id, those without an id last.
+
+    Rows that share id and text are one document and stay once; different texts of one id are different documents. A text
+    without words links with nothing. An empty table gives no rows.
+    """
+    return jaccard.first_documents(docs, NEAR_SHINGLE, NEAR_PERCENT)
 
 
 def uncontaminated_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark window."""
+    """Documents without a benchmark window. Null and empty texts, and repeated rows, stay; an empty benchmark keeps all rows."""
     return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the mix of their sources."""
+    """All documents in the order of the mix of their sources. A null source is one of its own; rows that share an id stand together."""
     return mixing.interleave(docs)
 
 
 def packed_rows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packed rows of token ids; a task packs the consecutive documents of the mix that it reads."""
+    """Packed rows of token ids; a task packs the consecutive documents of the mix that it reads.
+
+    A null or empty text is its end id; repeated rows are packed as often as they occur; an empty table gives no rows.
+    """
     return packing.packed(docs)
 
 
