@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larder.operators.aggregates import regression_measures
 from larder.schemas import FEATURES
@@ -55,6 +61,60 @@ def predict_all(df: DataFrame, models: dict[str, Model], features: list[str] = F
     return rows.drop("features")
 
 
+@dataclass(frozen=True)
+class LinearScorer:
+    """A linear model as a function of a matrix of features, small enough to be broadcast."""
+
+    weights: tuple[float, ...]
+    intercept: float
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        return x @ np.array(self.weights) + self.intercept
+
+
+def linear_scorer(model: LinearRegressionModel) -> LinearScorer:
+    return LinearScorer(tuple(float(w) for w in model.coefficients), float(model.intercept))
+
+
+def score_in_batches(
+    df: DataFrame, scorer: Callable[[np.ndarray], np.ndarray], features: list[str] = FEATURES, size: int = 100, name: str = "predictions"
+) -> DataFrame:
+    """Adds ``name`` and ``batch``: every task scores its rows ``size`` at a time with a model that is broadcast once.
+
+    No row is numbered or moved: ``batch`` counts within the task, with the task in its high bits, and only a task's last
+    batch is short. A missing feature counts as 0; rows stay in their order and as often as they occur; an empty table gives
+    no rows.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(scorer)
+    at = [df.columns.index(f) for f in features]
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType()), T.StructField("batch", T.LongType())])
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        """The task's rows in tables of ``size`` rows, whatever the borders of the batches that come in."""
+        held: list[pa.RecordBatch] = []
+        rows = 0
+        for batch in batches:
+            while rows + batch.num_rows >= size:
+                cut = size - rows
+                yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+                batch, held, rows = batch.slice(cut), [], 0
+            if batch.num_rows:
+                held.append(batch)
+                rows += batch.num_rows
+        if held:
+            yield pa.Table.from_batches(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 32
+        for i, table in enumerate(whole(batches)):
+            columns = [np.nan_to_num(table.column(c).to_numpy().astype(float)) for c in at]
+            found = shared.value(np.stack(columns, axis=1))
+            table = table.append_column(name, pa.array(found, pa.float64()))
+            yield from table.append_column("batch", pa.array([first + i] * table.num_rows, pa.int64())).combine_chunks().to_batches()
+
+    return df.mapInArrow(run, schema)
+
+
 def linear_scores(scored: DataFrame, target: str, prediction: str) -> DataFrame:
     """R2 on each labelled set."""
     return regression_measures(scored, ["label"], target, prediction).select("label", "n", "r2")

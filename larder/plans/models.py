@@ -223,3 +223,22 @@ def score_batches(t: Tables) -> DataFrame:
     return log.where(F.col("prediction").isNotNull()).join(batches.select("fid", "batch"), "fid").groupBy("batch").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("target"), 5).alias("target_sum")
     )
+
+
+@query(
+    "task_batches",
+    f"""WITH {LABELED_SQL}, fit AS (SELECT regr_slope(score, sodium) AS a, regr_intercept(score, sodium) AS b FROM labeled WHERE label = 'training')
+    SELECT fid, round(score, 6) AS target, round(a * sodium + b, 6) AS prediction, 1 AS in_batch_of_100 FROM labeled, fit WHERE label <> 'training'""",
+)
+def task_batches(t: Tables) -> DataFrame:
+    """Predictions of a model of one feature, scored inside the tasks 100 rows at a time and read back from the log."""
+    rows = stored_features(t)
+    model = reg.fit_linear(term(rows, "label", "training"), ["sodium"])
+    others = rows.where(F.col("label") != "training").select("fid", "score", "sodium")
+    scored = materialise(reg.score_in_batches(others, reg.linear_scorer(model), ["sodium"]), "scored-batches")
+    path = fresh_path(t.spark, "prediction-log")
+    tables.log_predictions(scored, path, "linear_regression_model")
+    sizes = scored.groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
+    fits = scored.join(sizes, "batch").select("fid", (F.col("n") <= 100).cast("int").alias("in_batch_of_100"))
+    log = tables.scan(t.spark, path).select("fid", F.round("target", 6).alias("target"), F.round("prediction", 6).alias("prediction"))
+    return log.join(fits, "fid")
