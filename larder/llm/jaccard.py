@@ -295,5 +295,9 @@ def first_documents(docs: DataFrame, size: int, percent: int, id_col: str = "doc
     Of rows that share id and text one stays.
     """
     rows = keyed(docs, id_col, row=True)
-    found = placed_documents(rows, size, percent, RARE, COMBINED).where("k = first").select("k").distinct()
-    return rows.join(found, "k", "left_semi").dropDuplicates(["k"]).select("row.*")
+    found = placed_documents(rows, size, percent, RARE, COMBINED).where("k = first")
+    found = materialise(found.groupBy("k").agg(F.count(F.lit(1)).alias("times")), "first-documents")
+    kept = rows.join(found, "k").select("k", "times", "row")
+    # only repeated rows are brought together; the others aren't moved for it
+    repeated = kept.where("times > 1").dropDuplicates(["k"])
+    return kept.where("times = 1").unionByName(repeated).select("row.*")
