@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm import decontaminate, jaccard, mixing, packing, quality
-from larder.session import materialise
+from larder.session import materialise, small_batches
 
 #: Documents below this quality score go; lower than the operator's default, to keep clean documents in doubt.
 REJECT_BELOW = 0.5
@@ -21,6 +21,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     A null or empty text is scored like others. Repeated rows, ties of the score and rows without an id are kept or go by
     their text alone. Without labels every score is one half, so all rows stay; an empty table gives no rows.
     """
+    small_batches(spark)
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.keep_good(docs, model, REJECT_BELOW)
 
@@ -31,11 +32,13 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     Rows that share id and text are one document and stay once; different texts of one id are different documents. A text
     without words links with nothing. An empty table gives no rows.
     """
+    small_batches(spark)
     return jaccard.first_documents(docs, NEAR_SHINGLE, NEAR_PERCENT)
 
 
 def uncontaminated_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window. Null and empty texts, and repeated rows, stay; an empty benchmark keeps all rows."""
+    small_batches(spark)
     return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -49,6 +52,7 @@ def packed_rows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null or empty text is its end id; repeated rows are packed as often as they occur; an empty table gives no rows.
     """
+    small_batches(spark)
     return packing.packed(docs)
 
 

@@ -8,6 +8,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of rows that an executor gathers before it sends them to a Python worker; Spark's own bound is 64 MB.
+ARROW_BYTES = 4 << 20
+
 
 def local_session(app: str = "larder", cores: str = "8", shared: str | None = None) -> SparkSession:
     """Session for tests and the local benchmark. On a cluster, pass the cluster's own session instead.
@@ -34,6 +37,18 @@ def local_session(app: str = "larder", cores: str = "8", shared: str | None = No
     return spark
 
 
+def small_batches(spark: SparkSession, size: int = ARROW_BYTES) -> None:
+    """Rows go to Python workers in Arrow batches of at most ``size`` bytes, or of one longer row, from now on in this session.
+
+    An executor and its worker each hold a batch whole, so this bounds what they hold; it changes no result. A smaller
+    bound that the session has already stays.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", spark.conf.get(key).strip().lower()).groups()
+    if int(number) << 10 * " kmgtp".index(unit or " ") > size:
+        spark.conf.set(key, f"{size}b")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can read: ``spark.checkpoint.dir`` of the session.
 

@@ -4,7 +4,10 @@ import random
 from collections import Counter
 
 import corpus_pipeline
+import pyarrow as pa
+import pytest
 from larder.llm import decontaminate, jaccard, packing, queries
+from larder.session import ARROW_BYTES, small_batches
 
 from .conftest import invented
 from .test_pairs import brute_components
@@ -70,3 +73,45 @@ def test_near_copies_of_the_stage(spark):
     out = corpus_pipeline.distinct_documents(spark, spark.createDataFrame(plain, "doc_id bigint, text string"), "")
     kept = {r.doc_id for r in out.collect()}
     assert kept == {c for _, _, c in brute_components(plain, 5, 80)} != {c for _, _, c in brute_components(plain)}
+
+
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@pytest.fixture
+def wide_batches(spark):
+    """Spark's own bound before a test, and after it."""
+    spark.conf.unset(BATCH)
+    yield
+    spark.conf.unset(BATCH)
+
+
+@pytest.mark.parametrize("stage", [f for name, f in corpus_pipeline.STAGES if name != "source_mixing"])
+def test_workers_get_small_batches(spark, wide_batches, stage):
+    """Of 24 MB in one partition a worker holds no more than the bound at once, whichever stage runs first."""
+    stage(spark, spark.read.parquet(f"{ROOT}/documents.parquet").limit(60), ROOT)
+    wide = spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 8000) AS text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "size": [batch.nbytes]})
+
+    found = wide.mapInArrow(sizes, "rows bigint, size bigint").collect()
+    assert sum(r.rows for r in found) == 3000 and max(r.size for r in found) <= ARROW_BYTES + 16_000
+
+
+@pytest.mark.parametrize(("before", "after"), [("64m", f"{ARROW_BYTES}b"), ("1k", "1k"), ("1000", "1000"), ("2MB", "2MB"), ("1gb", f"{ARROW_BYTES}b")])
+def test_smaller_bounds_stay(spark, wide_batches, before, after):
+    spark.conf.set(BATCH, before)
+    small_batches(spark)
+    assert spark.conf.get(BATCH) == after
+
+
+def test_batches_change_no_ids(spark, docs, wide_batches, monkeypatch):
+    """Batches of a few rows and slices of a few words give the documents' ids all the same."""
+    rows = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    whole = {r.doc_id: r.ids for r in packing.restored(packing.packed(rows)).collect()}
+    monkeypatch.setattr(packing, "SLICE_BYTES", 100)
+    spark.conf.set(BATCH, "1k")
+    again = packing.restored(corpus_pipeline.packed_rows(spark, rows, "")).collect()
+    assert {r.doc_id: r.ids for r in again} == whole
